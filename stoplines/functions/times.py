@@ -39,8 +39,9 @@ def feed_date(text: Column) -> Column:
 
 def minutes_between(start: Column, end: Column) -> Column:
     """Whole minutes from start to end, halves rounded away from zero."""
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    return F.round(micros / F.lit(60_000_000)).cast("int")
+    # Subtraction is zone-less; timestamp_diff would convert to the session's zone first.
+    seconds = (end - start).cast("interval second").cast("decimal(20,6)").cast("double")
+    return F.round(seconds / 60).cast("int")
 
 
 def clock_seconds(time: Column) -> Column:
