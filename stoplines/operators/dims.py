@@ -75,7 +75,7 @@ def dense_number(df: DataFrame, order: list[str], name: str, start: int = 1) ->
     return (
         cut.withColumn("_within", within)
         .join(offsets, "_range")
-        .withColumn(name, (F.col("_within") + F.col("_before") + F.lit(start - 1)).cast("int"))
+        .withColumn(name, F.col("_within") + F.col("_before") + F.lit(start - 1).cast("bigint"))
         .drop("_range", "_within", "_before")
     )
 
@@ -92,13 +92,16 @@ def profile_dim(
     key = list(key)
     pairs = stops.select(*key).distinct()
     if existing is None:
-        return dense_number(pairs, key, "profile_id").select("profile_id", *key)
+        numbered = dense_number(pairs, key, "profile_id")
+        return numbered.select(F.col("profile_id").cast("int"), *key)
     known = existing.select(*[F.col(k).alias(f"_{k}") for k in key])
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
     new = pairs.join(known, same, "left_anti")
     last = existing.agg(F.coalesce(F.max("profile_id"), F.lit(0)).alias("last")).first()["last"]
     numbered = dense_number(new, key, "profile_id", last + 1)
-    return existing.select("profile_id", *key).unionByName(numbered.select("profile_id", *key))
+    return existing.select("profile_id", *key).unionByName(
+        numbered.select(F.col("profile_id").cast("int"), *key)
+    )
 
 
 def station_dictionary(

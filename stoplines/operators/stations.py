@@ -15,20 +15,3 @@ def station_lookup(stations: DataFrame, name: str) -> DataFrame:
         "station_eva", "latitude", "longitude"
     )
 
-
-def nearest(
-    points: DataFrame,
-    latitude: float,
-    longitude: float,
-    key: str = "station_eva",
-    lat: str = "latitude",
-    lon: str = "longitude",
-) -> DataFrame:
-    """The point with the smallest squared distance in degrees; ties by key, no row if there is none."""
-    distance = F.power(F.col(lat) - F.lit(latitude), 2) + F.power(F.col(lon) - F.lit(longitude), 2)
-    known = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    return (
-        known.withColumn("distance_metric", distance.cast("double"))
-        .orderBy(F.col("distance_metric").asc_nulls_last(), key)
-        .limit(1)
-    )

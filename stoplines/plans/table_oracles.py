@@ -133,6 +133,13 @@ ORACLES: dict[str, str] = {
         FROM supplier
         ORDER BY power(s_acctbal - 4500.0, 2) + power(s_nationkey - 12.0, 2) NULLS LAST, s_suppkey
         LIMIT 1""",
+    "nearest_batch": """
+        SELECT c_custkey, s_suppkey, round(d, 4) AS distance_metric
+        FROM (SELECT c_custkey, s_suppkey,
+                     (s_acctbal - c_acctbal) * (s_acctbal - c_acctbal)
+                     + (s_nationkey - c_nationkey) * (s_nationkey - c_nationkey) AS d
+              FROM customer CROSS JOIN supplier)
+        QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY d, s_suppkey) = 1""",
     "normalize_name": """
         SELECT doc_id,
                trim(replace(lower(trim(regexp_replace(text, '[^\\p{L}\\p{N}_]', ' ', 'g'))), 'the', '')) AS norm

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stoplines.functions.text import clean_text, normalize_name
 from stoplines.functions.times import feed_time
-from stoplines.operators import delays, dims, graph, merge, names, quality, stations
+from stoplines.operators import delays, dims, geo, graph, merge, names, quality, stations
 from stoplines.plans.ingest import run_ingest, with_defaults
 from stoplines.plans.table_feed import table_feed
 from stoplines.sources.archives import path_metadata, read_archives
@@ -127,9 +127,17 @@ def station_lookup(t: Tables) -> DataFrame:
 
 
 def nearest(t: Tables) -> DataFrame:
-    return stations.nearest(
-        t.supplier, *POINT, key="s_suppkey", lat="s_acctbal", lon="s_nationkey"
-    ).select("s_suppkey", F.round("distance_metric", 4).alias("distance_metric"))
+    found = geo.nearest(t.supplier, *POINT, key="s_suppkey", lat="s_acctbal", lon="s_nationkey")
+    return found.select("s_suppkey", F.round("distance_metric", 4).alias("distance_metric"))
+
+
+def nearest_batch(t: Tables) -> DataFrame:
+    """The supplier nearest to each customer, by balance and nation."""
+    found = geo.nearest_batch(
+        t.customer, t.supplier, query_key="c_custkey", key="s_suppkey",
+        lat="s_acctbal", lon="s_nationkey", query_lat="c_acctbal", query_lon="c_nationkey",
+    )
+    return found.withColumn("distance_metric", F.round("distance_metric", 4))
 
 
 # Names
@@ -390,6 +398,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "peak_departures": peak_departures,
     "station_lookup": station_lookup,
     "nearest": nearest,
+    "nearest_batch": nearest_batch,
     "normalize_name": normalized_names,
     "station_dictionary": station_dictionary,
     "fuzzy_resolve": fuzzy_resolve,

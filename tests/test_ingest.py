@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
-from stoplines.operators import delays, graph, quality, stations
+from stoplines.operators import delays, geo, graph, quality, stations
 from stoplines.plans.ingest import run_ingest
 from tests.conftest import Snapshot, stop, timetable, write_archive
 
@@ -65,7 +65,7 @@ def test_station_queries(small):
     found = stations.station_lookup(dims, "Berlin Hauptbahnhof").collect()
     assert [(r.station_eva, float(r.latitude), float(r.longitude)) for r in found] == [(1001, 52.525, 13.369)]
     assert stations.station_lookup(dims, "Nowhere").count() == 0
-    assert stations.nearest(dims, 52.516266, 13.377775).first().station_name == "hauptbahnhof"
+    assert geo.nearest(dims, 52.516266, 13.377775).first().station_name == "hauptbahnhof"
 
 
 @pytest.mark.parametrize(
