@@ -36,7 +36,8 @@ def keep_last(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def insert_absent(target: DataFrame, new: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Target rows, and the first new row of each key that the target lacks."""
     first = keep_first(new, key, order).select(*target.columns)
-    return target.unionByName(first.join(target.select(*key), key, "left_anti"))
+    # distinct, so that a key with many target rows is reduced before the shuffle
+    return target.unionByName(first.join(target.select(*key).distinct(), key, "left_anti"))
 
 
 def upsert(target: DataFrame, new: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -100,7 +101,7 @@ def orphans(fact: DataFrame, dim: DataFrame, key: dict[str, str] | str) -> DataF
     `key` is a common column name, or maps fact columns to dimension columns.
     """
     pairs = {key: key} if isinstance(key, str) else key
-    keys = dim.select(*[F.col(d).alias(f"_dim_{d}") for d in pairs.values()])
+    keys = dim.select(*[F.col(d).alias(f"_dim_{d}") for d in pairs.values()]).distinct()
     match = [F.col(f) == F.col(f"_dim_{d}") for f, d in pairs.items()]
     known = reduce(Column.__and__, [F.col(f).isNotNull() for f in pairs])
     return fact.filter(known).join(keys, match, "left_anti")

@@ -105,8 +105,11 @@ def count_cancelled(t: Tables) -> DataFrame:
 
 def peak_departures(t: Tables) -> DataFrame:
     result = delays.peak_departures(t.events, station="user_id", time="ts", departure="view")
+    morning, evening = (F.round(F.col(f"`{name}`"), 6) for name in delays.PEAKS)
     return result.select(
-        "user_id", *[F.round(name, 6).alias(name) for name in delays.PEAKS]
+        "user_id",
+        morning.alias("morning_avg_departures"),
+        evening.alias("evening_avg_departures"),
     )
 
 

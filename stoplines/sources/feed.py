@@ -81,17 +81,18 @@ def corrupt_documents(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("corrupt").isNotNull()).select("archive", "seq", "member", "corrupt")
 
 
+def _each_stop(docs: DataFrame, *columns: str) -> DataFrame:
+    """`columns`, `pos` and `s` of every stop."""
+    # For a plain posexplode the planner adds filters on the array and moves them below the
+    # parsing, which would then run once more per filter.
+    stops = docs.select(*columns, F.posexplode_outer("stops").alias("pos", "s"))
+    return stops.filter(F.col("s").isNotNull())
+
+
 def planned_stops(docs: DataFrame) -> DataFrame:
     """One row per planned stop. A stop without a trip label has NULL type and number."""
-    stops = docs.select(
-        "archive",
-        "seq",
-        "snapshot_date",
-        "station",
-        "file_station",
-        *(["station_eva"] if "station_eva" in docs.columns else []),
-        F.posexplode("stops").alias("pos", "s"),
-    )
+    known = [c for c in docs.columns if c == "station_eva"]
+    stops = _each_stop(docs, "archive", "seq", "snapshot_date", "station", "file_station", *known)
     return stops.select(
         F.col("s._id").alias("stop_id"),
         F.col("s.tl._c").alias("train_type"),
@@ -106,7 +107,7 @@ def planned_stops(docs: DataFrame) -> DataFrame:
 
 def stop_changes(docs: DataFrame) -> DataFrame:
     """One row per changed stop that has a new time or a cancellation."""
-    stops = docs.select("archive", "seq", F.posexplode("stops").alias("pos", "s"))
+    stops = _each_stop(docs, "archive", "seq")
 
     def flagged(kind: str) -> Column:
         return F.coalesce(F.col(f"s.{kind}._cs") == CANCELLED, F.lit(False))
@@ -140,7 +141,7 @@ def unpivot_events(df: DataFrame, keep: list, arrival: dict, departure: dict, pr
 
 
 def _events(docs: DataFrame, keep: list, fields) -> DataFrame:
-    stops = docs.select("station", F.explode("stops").alias("s"))
+    stops = _each_stop(docs, "station")
     sides = [
         {"present": F.when(F.col(f"s.{kind}").isNotNull(), True), **fields(f"s.{kind}")}
         for kind in EVENT_KINDS

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table. With a schema also a layer without any row can be read."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
