@@ -31,6 +31,15 @@ def feed_time(text: Column, order: str = FEED_ORDER) -> Column:
     return F.when(F.length(text) == 10, _make_time(text, order, hour, minute))
 
 
+def feed_text(time: Column, order: str = FEED_ORDER) -> Column:
+    """A time as ten digits, the reverse of `feed_time`."""
+    # not date_format, which would read a zone-less time in the session's zone
+    digits = F.translate(time.cast("string"), "-: ", "")
+    parts = {"YY": digits.substr(3, 2), "MM": digits.substr(5, 2), "DD": digits.substr(7, 2)}
+    date = [parts[order[i : i + 2]] for i in range(0, len(order), 2)]
+    return F.concat(*date, digits.substr(9, 4))
+
+
 def feed_date(text: Column) -> Column:
     """Six digits YYMMDD as a date. Anything else is NULL."""
     midnight = _make_time(text, FEED_ORDER, F.lit(0), F.lit(0))

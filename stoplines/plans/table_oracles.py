@@ -88,7 +88,7 @@ def _ranked(where: str, direction: str) -> str:
 _EDGES = """
 linked AS (
   SELECT lag(l_partkey) OVER (PARTITION BY l_orderkey
-                              ORDER BY l_shipdate, l_linenumber, l_suppkey, l_partkey) AS src,
+                              ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS src,
          l_partkey AS dst
   FROM lineitem
 ),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stoplines.functions.text import clean_text, normalize_name
-from stoplines.functions.times import feed_time
+from stoplines.functions.times import feed_text, feed_time
 from stoplines.operators import delays, dims, geo, graph, merge, names, quality, stations
 from stoplines.plans.ingest import run_ingest, with_defaults
 from stoplines.plans.table_feed import table_feed
@@ -257,7 +257,7 @@ def profile_dim_next(t: Tables) -> DataFrame:
 def route_edges(t: Tables) -> DataFrame:
     return graph.route_edges(
         t.lineitem, trip="l_orderkey", node="l_partkey", time="l_shipdate",
-        ties=("l_linenumber", "l_suppkey"),
+        ties=("l_linenumber", "l_partkey", "l_suppkey"),
     )
 
 
@@ -305,8 +305,8 @@ def unpivot(t: Tables) -> DataFrame:
 
 def parsed_times(t: Tables) -> DataFrame:
     """Order dates as feed text in both field orders, and damaged, read back."""
-    day_first = F.date_format("o_orderdate", "ddMMyyHHmm")
-    year_first = F.date_format("o_orderdate", "yyMMddHHmm")
+    day_first = feed_text(F.col("o_orderdate"), "DDMMYY")
+    year_first = feed_text(F.col("o_orderdate"))
     return t.orders.select(
         "o_orderkey",
         feed_time(year_first).alias("year_first"),

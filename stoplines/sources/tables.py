@@ -17,11 +17,11 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
 
-def write_by_date(df: DataFrame, time: str, path: str) -> None:
-    """Replace `path` by the rows of `df`, one folder per day of the column `time`.
+def write_by_date(df: DataFrame, time: str, path: str, append: bool = False) -> None:
+    """Replace `path` by the rows of `df`, or add them, in one folder per day of the column `time`.
 
     The rebalance collects a day's rows into few files, and AQE splits a day that is
     too large for one task.
     """
     dated = df.withColumn("date", F.to_date(time)).hint("rebalance", F.col("date"))
-    dated.write.mode("overwrite").partitionBy("date").parquet(path)
+    dated.write.mode("append" if append else "overwrite").partitionBy("date").parquet(path)

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stoplines.functions.text import normalize_name, station_text, trip_id
-from stoplines.functions.times import feed_time, minutes_between
+from stoplines.functions.times import feed_text, feed_time, minutes_between
+from stoplines.operators.dims import date_dim, station_dim
+from stoplines.operators.merge import fold_changes, keep_first
 from stoplines.sources.archives import archive_ranges, path_metadata, read_archives
 from stoplines.sources.feed import (
     changed_events,
@@ -17,7 +19,6 @@ from stoplines.sources.feed import (
     stop_changes,
 )
 from stoplines.sources.stations import read_stations
-from stoplines.operators.dims import date_dim, station_dim
 from tests.conftest import stop, timetable, write_archive
 
 
@@ -75,6 +76,28 @@ def test_minutes_in_the_hour_that_is_skipped(spark, start, end):
     assert df.select(minutes).first()[0] == 60
 
 
+@pytest.mark.parametrize(("text", "year"), [("9901020304", 2099), ("6801020304", 2068), ("0001020304", 2000)])
+def test_years_are_of_this_century(spark, text, year):
+    df = spark.createDataFrame([(text,)], "t string")
+    row = df.select(feed_time(F.col("t")).alias("time"), feed_text(feed_time(F.col("t"))).alias("text")).first()
+    assert tuple(row) == (datetime(year, 1, 2, 3, 4), text)
+
+
+def test_order_across_archives(spark):
+    """The archive comes first, then the document, then the place in it, whatever arrives first."""
+    schema = "archive string, seq long, member string, xml string, error string"
+
+    def change(archive, seq, minute):
+        return (archive, seq, "x/y", timetable("x", stop("1", ar=f"ct=25090215{minute}")), None)
+
+    late, early = change("b.tar.gz", 0, 20), change("a.tar.gz", 7, 30)
+    for order in ([late, early], [early, late]):
+        docs = parse_documents(spark.createDataFrame(order, schema))
+        assert fold_changes(stop_changes(docs)).first().new_arrival == datetime(2025, 9, 2, 15, 20)
+        first = keep_first(stop_changes(docs), ["stop_id"], ["archive", "seq", "pos"]).first()
+        assert first.new_arrival == datetime(2025, 9, 2, 15, 30)
+
+
 def test_day_first_order(spark):
     df = spark.createDataFrame([("0209251730",)], "t string")
     assert df.select(feed_time(F.col("t"), "DDMMYY")).first()[0] == datetime(2025, 9, 2, 17, 30)
