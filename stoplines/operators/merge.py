@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stoplines.functions.times import minutes_between
+from stoplines.storage import materialize
 
 
 def _pick(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -34,15 +35,22 @@ def keep_last(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 
 def insert_absent(target: DataFrame, new: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Target rows, and the first new row of each key that the target lacks."""
-    first = keep_first(new, key, order).select(*target.columns)
-    # distinct, so that a key with many target rows is reduced before the shuffle
-    return target.unionByName(first.join(target.select(*key).distinct(), key, "left_anti"))
+    """Target rows, and the first new row of each key that the target lacks.
+
+    The new rows are stored, since they are used twice and their size decides the joins: a
+    small delivery is broadcast and the target is not shuffled at all.
+    """
+    first = materialize(keep_first(new, key, order).select(*target.columns), "new-rows")
+    present = target.select(*key).join(first.select(*key), key, "left_semi").distinct()
+    return target.unionByName(first.join(present, key, "left_anti"))
 
 
 def upsert(target: DataFrame, new: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The last new row of each key, and the target rows of all other keys."""
-    last = keep_last(new, key, order).select(*target.columns)
+    """The last new row of each key, and the target rows of all other keys.
+
+    The new rows are stored, as in `insert_absent`.
+    """
+    last = materialize(keep_last(new, key, order).select(*target.columns), "new-rows")
     return target.join(last.select(*key), key, "left_anti").unionByName(last)
 
 
@@ -98,10 +106,13 @@ def apply_changes(
 def orphans(fact: DataFrame, dim: DataFrame, key: dict[str, str] | str) -> DataFrame:
     """Fact rows whose key is set but not in the dimension.
 
-    `key` is a common column name, or maps fact columns to dimension columns.
+    `key` is a common column name, or maps fact columns to dimension columns. The distinct
+    keys are stored: few are broadcast, and with many a hot fact key is split by the skew
+    join, which needs both sides to come straight from a shuffle.
     """
     pairs = {key: key} if isinstance(key, str) else key
     keys = dim.select(*[F.col(d).alias(f"_dim_{d}") for d in pairs.values()]).distinct()
+    keys = materialize(keys, "keys")
     match = [F.col(f) == F.col(f"_dim_{d}") for f, d in pairs.items()]
     known = reduce(Column.__and__, [F.col(f).isNotNull() for f in pairs])
     return fact.filter(known).join(keys, match, "left_anti")

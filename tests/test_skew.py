@@ -58,3 +58,30 @@ def test_edges_of_a_hot_trip(spark, hot):
     assert found == {(str(h % 7), str(h % 7)) for h in range(24)} | {
         (str(h % 7), str((h + 1) % 7)) for h in range(23)
     }
+
+
+def test_hot_keys_are_split_where_nothing_is_broadcast(spark, hot):
+    """The skew join finds the hot side of the anti-joins in front of it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    rows = hot.select("sid", "id", (F.col("id") * 7).alias("x"))
+    few = spark.range(1, 5).select(F.col("id").alias("sid"), F.col("id"), F.lit(1).cast("long").alias("x"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for result, expected in (
+            (merge.orphans(rows, few, "sid"), ROWS - 3),
+            (merge.upsert(rows, few, ["sid"], ["id"]), ROWS + 1),
+        ):
+            # ids 1, 2 and 4 are keys of their own
+            assert result.count() == expected
+            result.collect()
+            assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
