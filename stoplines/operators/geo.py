@@ -148,6 +148,10 @@ def nearest_batch(
         F.when(F.col("lat").isNotNull(), F.lit(0)).cast("bigint").alias("node"),
         F.lit(float("inf")).alias("bound"),
     )
+    # Spread by query before the costly part; where tiles are broadcast, the final
+    # aggregation then needs no shuffle of its own.
+    spread = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    todo = todo.repartition(spread, "query")
     y, x = F.col("lat"), F.col("lon")
     for level in reversed(tiles[1:]):
         def near(tile: Column) -> Column:
