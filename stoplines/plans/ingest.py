@@ -12,6 +12,8 @@ snapshot: existing stations are updated, existing days, profiles and stops stay.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,25 +122,36 @@ def run_ingest(
         .unionByName(corrupt_documents(changed).withColumn("source", F.lit("changed"))),
         "corrupt_documents",
     )
-    write_by_date(planned_events(planned), "planned_time", f"{out}/planned_events")
-    write_by_date(changed_events(changed), "changed_time", f"{out}/changed_events")
-
-    # Stored, so that the planner knows how small the resolved names are.
-    resolved = store(
-        fuzzy_resolve(station_names(planned), station_dictionary(stations)), "staging/station_names"
-    )
-    stops = planned_stops(resolve_station(planned, resolved)).filter(F.col("stop_id").isNotNull())
 
-    profiles = store(profile_dim(stops, before("dim_train_profiles")), "dim_train_profiles")
-
-    store(orphans(stops, days, "date_id"), "orphan_stops")
-    day = days.select(F.col("date_id").alias("_day"))
-    dated = stops.join(day, F.col("date_id") == F.col("_day"), "left").filter(
-        F.col("_day").isNotNull() | F.col("date_id").isNull()
-    )
-    first = keep_first(dated, ["stop_id"], POSITION)
-    facts = with_defaults(with_profile_id(first, profiles)).select(*FACT_COLUMNS)
-    if previous:
-        facts = insert_absent(before("fact_train_stops"), facts, ["stop_id"], ["stop_id"])
-    folded = fold_changes(stop_changes(changed))
-    store(apply_changes(facts, folded), "fact_train_stops")
+    def store_planned_layer() -> None:
+        write_by_date(planned_events(planned), "planned_time", f"{out}/planned_events")
+
+    def store_changed_layer() -> None:
+        write_by_date(changed_events(changed), "changed_time", f"{out}/changed_events")
+
+    def store_facts() -> None:
+        # Stored, so that the planner knows how small the resolved names are.
+        resolved = store(
+            fuzzy_resolve(station_names(planned), station_dictionary(stations)), "staging/station_names"
+        )
+        stops = planned_stops(resolve_station(planned, resolved)).filter(F.col("stop_id").isNotNull())
+
+        profiles = store(profile_dim(stops, before("dim_train_profiles")), "dim_train_profiles")
+
+        store(orphans(stops, days, "date_id"), "orphan_stops")
+        day = days.select(F.col("date_id").alias("_day"))
+        dated = stops.join(day, F.col("date_id") == F.col("_day"), "left").filter(
+            F.col("_day").isNotNull() | F.col("date_id").isNull()
+        )
+        first = keep_first(dated, ["stop_id"], POSITION)
+        facts = with_defaults(with_profile_id(first, profiles)).select(*FACT_COLUMNS)
+        if previous:
+            facts = insert_absent(before("fact_train_stops"), facts, ["stop_id"], ["stop_id"])
+        folded = fold_changes(stop_changes(changed))
+        store(apply_changes(facts, folded), "fact_train_stops")
+
+    # These do not depend on each other: jobs of one use the cores that another leaves idle.
+    parts = [store_planned_layer, store_changed_layer, store_facts]
+    with ThreadPoolExecutor(len(parts)) as pool:
+        for done in [pool.submit(part) for part in parts]:
+            done.result()
