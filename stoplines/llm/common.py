@@ -6,12 +6,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stoplines.storage import materialize
 
 BYTES_PER_PARTITION = 16 << 20
+# Texts are worked on in pieces of about this size, so that a Python worker stays small.
+SLICE_BYTES = 4 << 20
 
 
 def fold(modulus: int, doc_id: str = "doc_id") -> Column:
@@ -42,13 +46,29 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply `fn` to every Arrow batch; batches for which it returns None give no rows."""
+def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about `limit` bytes in one column; a longer row comes alone."""
+    values = batch.column(column)
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        base = ends[at] - sizes[at]
+        n = max(1, int(np.searchsorted(ends, base + limit, "right")) - at)
+        yield batch.slice(at, n)
+        at += n
+
+
+def arrow_map(
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType,
+    column: str | None = "text", limit: int = SLICE_BYTES,
+) -> DataFrame:
+    """Apply `fn` to Arrow batches of about `limit` bytes in `column`; None stands for no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            for part in slices(batch, column, limit) if column else [batch]:
+                out = fn(part) if part.num_rows else None
                 if out is not None and out.num_rows:
                     yield out
 

@@ -7,14 +7,22 @@ length.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
 SECOND = 0xC2B2AE3D27D4EB4F
-_MASK = (1 << 64) - 1
+BLOCK = 1 << 18
 
 
 def powers(base: int, n: int) -> np.ndarray:
+    """The first n powers."""
+    return _powers(base, 1 << max(16, int(n - 1).bit_length()))[:n]
+
+
+@lru_cache(maxsize=8)
+def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -31,12 +39,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def stretch_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
-    """Hash of values[start:end] for each pair; unsigned values, ends exclusive."""
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(base, n), out=sums[1:])
-    back = powers(pow(base, -1, 1 << 64), n + 1)
-    return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    """Hash of values[start:end] for each pair; unsigned values, ends exclusive, starts ascending."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        # As many stretches as begin within one block: memory doesn't grow with the whole.
+        low = starts[at]
+        to = max(at + 1, int(np.searchsorted(starts, low + BLOCK)))
+        high = ends[at:to].max()
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum((values[low:high].astype(np.uint64) + np.uint64(1)) * powers(base, high - low), out=sums[1:])
+        first, last = starts[at:to] - low, ends[at:to] - low
+        back = powers(pow(base, -1, 1 << 64), high - low + 1)
+        out[at:to] = mix((sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64))
+        at = to
+    return out
 
 
 def window_hashes(values: np.ndarray, width: int, base: int = BASE) -> np.ndarray:

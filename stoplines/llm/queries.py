@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoplines.llm import decontaminate
-from stoplines.llm.common import table
+from stoplines.llm import decontaminate, quality, secrets
+from stoplines.llm.common import fold, table
+
+
+def op4_convolutional_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = quality.train(docs, table(spark, sf_dir, "labels"), fold(3) != 1)
+    return quality.score(docs, network).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
 
 
 def op7_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +29,24 @@ def op7_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     )
 
 
+def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = secrets.base_spans()
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"), number("hex").alias("n_hex"),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op4_convolutional_quality,
         op7_suffix_array_decontamination,
+        op10_trigram_secrets,
     )
 }
