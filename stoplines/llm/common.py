@@ -26,7 +26,7 @@ def fold(modulus: int, doc_id: str = "doc_id") -> Column:
 def partitions_for(df: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION) -> int:
     """Shuffle partitions for rows of the size of `df`: the session's number, more for more bytes."""
     planned = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     # A plan without statistics reports a size near 2^63: then the session's number stands.
     return max(planned, size // bytes_per_partition) if size < 1 << 60 else planned
 

@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoplines.llm import decontaminate, quality, secrets
+from stoplines.llm import decontaminate, language, minhash, passages, quality, repeats, secrets, subword
 from stoplines.llm.common import fold, table
 
 
+def op1_subword_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language.score(docs, fold(10) != 0).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op3_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs, shingle=3, similarity=85)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op4_convolutional_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     network = quality.train(docs, table(spark, sf_dir, "labels"), fold(3) != 1)
@@ -19,6 +32,18 @@ def op4_convolutional_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_super_kmer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_max_plus_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = subword.decode(subword.encode(docs))
+    exact = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
+    return both.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", exact.alias("exact"))
+
+
 def op7_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -29,6 +54,11 @@ def op7_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     )
 
 
+def op9_induced_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = secrets.base_spans()
@@ -45,8 +75,13 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_subword_lattice_scores,
+        op3_minhash_near_duplicates,
         op4_convolutional_quality,
+        op5_super_kmer_repeats,
+        op6_max_plus_pieces,
         op7_suffix_array_decontamination,
+        op9_induced_suffix_repeats,
         op10_trigram_secrets,
     )
 }
