@@ -133,5 +133,30 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
     return labels
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, usable: Column, label: str, sample: int, most_bytes: int = 1 << 19
+) -> tuple[list, float]:
+    """At most `sample` documents of each label 0 and 1, by a hash of the id, and the share of label 1 among all.
+
+    Rows have doc_id, label, text (bytes) and turn, a number from the hash. Only labels that are
+    `usable` count; texts of more than `most_bytes` are not sampled; a document labelled twice counts
+    as 1 if either says so.
+    """
+    known = (
+        labels.where(F.col(label).isin(0, 1)).where(usable).where(F.col("doc_id").isNotNull())
+        .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+        .withColumn("turn", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)))
+    )
+    counts = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
+    chosen = [known.where(F.col("label") == value).orderBy("turn", "doc_id").limit(sample) for value in (0, 1)]
+    # At most 2 * sample ids: small enough to send to every task.
+    rows = (
+        docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+        .where(F.octet_length("text") <= most_bytes)
+        .join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    )
+    return rows, counts.get(1, 0) / max(1, sum(counts.values()))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

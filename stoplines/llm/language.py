@@ -3,7 +3,10 @@
 A text is its words, lower-cased in A-Z, and an end. A word's probability is the sum over all ways
 to segment it into pieces of an existing vocabulary, by a forward recursion in log space; the
 pieces' probabilities start from the vocabulary's scores and are re-estimated by expectation
-maximisation over the words of all training documents. Only the weights are fitted, the pieces stay.
+maximisation over the distinct words of all training documents. Only the weights are fitted, the
+pieces stay. A word of the training texts has one more way through its lattice, the word as a whole:
+its count less a discount, over all tokens; what the discounts leave is the weight of the piecewise
+ways.
 
 Each distinct word is scored once. Words are counted over all documents; the most frequent, at most
 FREQUENT of them by their share of all tokens, are sent to every task, and a text's other words meet
@@ -86,9 +89,9 @@ def word_counts(docs: DataFrame, train: Column) -> DataFrame:
     return arrow_map(docs.select("text", train.alias("train")), _counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit(counts: DataFrame, vocabulary: Vocabulary, texts: int, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """Log probabilities of the pieces and the fallback, and of the end, from all training words."""
-    weights, end = _start(vocabulary), 0.0
+def fit(counts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Log probabilities of the pieces and the fallback, from each distinct training word once."""
+    weights = _start(vocabulary)
     sc = counts.sparkSession.sparkContext
     shared = sc.broadcast(vocabulary)
     for _ in range(rounds):
@@ -97,9 +100,8 @@ def fit(counts: DataFrame, vocabulary: Vocabulary, texts: int, rounds: int = ROU
         def expected(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             uses = np.zeros(len(now.value))
             for batch in batches:
-                words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy()
-                for part, lattice in _lattices(words, shared.value):
-                    uses += lattice.expected(lattice.weights(now.value, PER_BYTE), n[part])
+                for _, lattice in _lattices(batch.column("word").to_pylist(), shared.value):
+                    uses += lattice.expected(lattice.weights(now.value, PER_BYTE), np.ones(len(lattice.sizes)))
             some = np.flatnonzero(uses)
             if len(some):
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(uses[some])], names=["piece", "uses"])
@@ -112,9 +114,8 @@ def fit(counts: DataFrame, vocabulary: Vocabulary, texts: int, rounds: int = ROU
         uses = np.full(len(weights), SMOOTHING)
         for row in rows:
             uses[row.piece] += row.uses
-        total = uses.sum() + texts + SMOOTHING
-        weights, end = np.log(uses / total), float(np.log((texts + SMOOTHING) / total))
-    return weights, end
+        weights = np.log(uses / uses.sum())
+    return weights
 
 
 def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
@@ -133,9 +134,15 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
     )
     counts = materialize(word_counts(rows, F.col("train")), "words")
     texts = rows.where("train").count()
-    sums = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    sums = counts.agg(
+        F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v"), F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")
+    ).first()
     total, distinct = (sums.n or 0) + texts, sums.v + (texts > 0)
-    weights, end = fit(counts, vocabulary, texts, rounds)
+    weights = fit(counts, vocabulary, rounds)
+    # The usual estimate of the discount; the end is never discounted, and no text without an end is possible.
+    discount = sums.once / (sums.once + 2 * sums.twice) if sums.once and sums.twice else 0.5
+    end = float(np.log10((texts + SMOOTHING) / (total + SMOOTHING)))
+    spare = (discount * sums.v + SMOOTHING) / (total + SMOOTHING)
     shared, fitted = sc.broadcast(vocabulary), sc.broadcast(weights)
 
     def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -143,6 +150,10 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         out = np.empty(len(words))
         for part, lattice in _lattices(words, shared.value):
             out[part] = lattice.forward(lattice.weights(fitted.value, PER_BYTE))[1]
+        n = batch.column("n").to_numpy()
+        with np.errstate(divide="ignore"):
+            whole = np.log(np.maximum(n - discount, 0) / (total + SMOOTHING))
+        out = np.logaddexp(whole, out + np.log(spare))
         raw, offsets = string_buffer(batch.column("word"))
         hashes = H.stretch_hashes(raw, offsets[:-1], offsets[1:]).view(np.int64)
         return pa.RecordBatch.from_arrays(
@@ -165,7 +176,7 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         here = known[at] == hashes.view(np.int64) if len(known) else np.zeros(len(hashes), bool)
         at, owner = at[here], doc[here]
         base = np.bincount(owner, np.log10(count[at] + SMOOTHING) - norm, n) + np.log10(end_count + SMOOTHING) - norm
-        model = np.bincount(owner, p[at], n) + end / np.log(10)
+        model = np.bincount(owner, p[at], n) + end
         n_known = np.bincount(owner, minlength=n) + (end_count > 0)
         rest = np.flatnonzero(~here)
         order = rest[np.lexsort((hashes[rest], doc[rest]))]

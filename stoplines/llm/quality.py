@@ -6,7 +6,7 @@ kilobyte. The greatest response of each filter in a chunk is kept; the greatest
 all chunks of a document go through one hidden layer to a probability.
 
 The network is fitted on the driver on at most SAMPLE labelled documents of each class, the first by
-a hash of their ids; the class shares that set its bias are counted over all training labels.
+a hash of their ids, none longer than half a megabyte; the class shares that set its bias are counted over all training labels.
 """
 
 from __future__ import annotations
@@ -18,10 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stoplines.llm.common import arrow_map, string_buffer
+from stoplines.llm.common import arrow_map, labelled_sample, string_buffer
 
 SAMPLE = 1500  # labelled documents of each class at most
-SAMPLE_BYTES = 32 << 20  # a training text longer than this is not sampled
 WIDTH = 8  # bytes of a filter
 VECTOR = 5  # learned numbers for each byte
 FILTERS = 16
@@ -227,21 +226,7 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float, epochs: int = EPOC
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "quality", sample: int = SAMPLE) -> Network:
     """Fit on the labelled documents that are `usable`; rows with a null or other label than 0, 1 are left out."""
-    known = (
-        labels.where(F.col(label).isin(0, 1)).where(usable).where(F.col("doc_id").isNotNull())
-        .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    )
-    counts = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
-    chosen = known.where("false")
-    for value in (0, 1):
-        chosen = chosen.union(known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    # At most 2 * sample ids: small enough to send to every task.
-    rows = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-        .where(F.octet_length("text") <= SAMPLE_BYTES // 64)
-        .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    )
-    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    rows, share = labelled_sample(docs, labels, usable, label, sample)
     return fit([bytes(row.text) for row in rows], np.array([row.label for row in rows], np.float32), share)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoplines.llm import decontaminate, language, minhash, passages, quality, repeats, secrets, subword
+from stoplines.llm import decontaminate, language, minhash, passages, quality, repeats, secrets, subword, toxicity
 from stoplines.llm.common import fold, table
 
 
@@ -54,6 +54,14 @@ def op7_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     )
 
 
+def op8_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op9_induced_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = passages.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -81,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_super_kmer_repeats,
         op6_max_plus_pieces,
         op7_suffix_array_decontamination,
+        op8_boosted_toxicity,
         op9_induced_suffix_repeats,
         op10_trigram_secrets,
     )
