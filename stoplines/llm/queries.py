@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoplines.llm import decontaminate, language, minhash, passages, quality, repeats, secrets, subword, toxicity
+from stoplines.llm import decontaminate, embeddings, language, minhash, passages, quality, repeats, secrets, subword, toxicity
 from stoplines.llm.common import fold, table
 
 
@@ -18,6 +18,10 @@ def op1_subword_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = minhash.near_duplicates(docs, shingle=3, similarity=85)
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_subword_lattice_scores,
+        op2_spherical_cells,
         op3_minhash_near_duplicates,
         op4_convolutional_quality,
         op5_super_kmer_repeats,
