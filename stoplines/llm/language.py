@@ -4,9 +4,13 @@ A text is its words, lower-cased in A-Z, and an end. A word's probability is the
 to segment it into pieces of an existing vocabulary, by a forward recursion in log space; the
 pieces' probabilities start from the vocabulary's scores and are re-estimated by expectation
 maximisation over the distinct words of all training documents. Only the weights are fitted, the
-pieces stay. A word of the training texts has one more way through its lattice, the word as a whole:
-its count less a discount, over all tokens; what the discounts leave is the weight of the piecewise
-ways.
+pieces stay.
+
+Texts are of several kinds (languages, say): a mixture that is fitted on a bounded sample of training
+texts, and whose weights and word counts then come from all of them. A text's probability is the sum
+over the kinds. A word of the training texts has one more way through its lattice, the word as a whole,
+by its count less a discount in texts of the kind and then of all kinds; what the discounts leave is
+the weight of the piecewise ways.
 
 Each distinct word is scored once. Words are counted over all documents; the most frequent, at most
 FREQUENT of them by their share of all tokens, are sent to every task, and a text's other words meet
@@ -16,20 +20,30 @@ their scores in a join, counted per document before.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stoplines.llm import hashing as H
 from stoplines.llm.common import arrow_map, string_buffer
+from stoplines.llm.embeddings import spherical_kmeans
 from stoplines.llm.lattice import LITERAL, SPACE, Lattice, Vocabulary
 from stoplines.storage import materialize
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FREQUENT = 1 << 18
-ROUNDS = 2
+ROUNDS = 4
+KINDS = 6
+KIND_WORDS = 2048
+KIND_COMMON = 200
+KIND_SAMPLE = 4000  # training texts, of at most KIND_BYTES, that kinds are found on
+KIND_BYTES = 1 << 15
+KIND_STARTS = 40_000  # words of the sample that the pieces' weights start from
+END = b" "
 WORDS = 20_000  # words in one lattice
 LETTERS = 1 << 18  # and letters
 LAST = np.iinfo(np.int64).max
@@ -54,20 +68,26 @@ def _lattices(words: list[bytes], vocabulary: Vocabulary) -> Iterator[tuple[slic
         at = stop
 
 
+def _log(x: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(x)
+
+
 def _start(vocabulary: Vocabulary) -> np.ndarray:
     """Log weights of the pieces and the fallback: the scores, or by Zipf's law where they are ranks."""
     scores = vocabulary.scores
-    if len(scores) and (scores == -np.arange(len(scores))).all():
-        scores = -np.log(10 - scores)
+    if len(scores) and (scores == np.round(scores)).all():
+        scores = -np.log(10 + np.argsort(np.argsort(-scores, kind="stable"), kind="stable"))
     weights = np.append(scores, scores.min(initial=0.0) - 1)
     return weights - np.logaddexp.reduce(weights)
 
 
-def _tokens(batch: pa.RecordBatch):
-    raw, offsets = string_buffer(batch.column("text"))
+def _tokens_of(texts: pa.Array):
+    """Lower-cased bytes, starts and ends of words, their texts, their hashes."""
+    raw, offsets = string_buffer(texts)
     raw = H.lower_ascii(raw)
     starts, ends, places = H.words(raw, offsets, H.NOT_SPACE)
-    doc = np.repeat(np.arange(batch.num_rows), np.diff(places))
+    doc = np.repeat(np.arange(len(texts)), np.diff(places))
     return raw, starts, ends, doc, H.stretch_hashes(raw, starts, ends)
 
 
@@ -76,49 +96,130 @@ def _spelled(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.array([text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())
 
 
-def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
-    raw, starts, ends, doc, hashes = _tokens(batch)
+@dataclass
+class Kinds:
+    """A mixture of word distributions over the most frequent words of a sample: the kind of each text."""
+
+    words: np.ndarray  # hashes, sorted
+    logs: np.ndarray  # [kinds, words + 1], other words last
+    prior: np.ndarray
+
+    def of(self, doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.words, hashes), max(0, len(self.words) - 1))
+        at = np.where(self.words[at] == hashes, at, len(self.words)) if len(self.words) else np.zeros(len(hashes), int)
+        return np.stack([prior + np.bincount(doc, logs[at], n) for prior, logs in zip(self.prior, self.logs, strict=True)]).argmax(0)
+
+    def words_of(self, texts: pa.Array, most: int = KIND_STARTS) -> list[list[bytes]]:
+        """Distinct words of the texts of each kind, at most `most` of all kinds, by their hashes."""
+        raw, starts, ends, doc, hashes = _tokens_of(texts)
+        kind = self.of(doc, hashes, len(texts))[doc]
+        _, first = np.unique(hashes + kind.astype(np.uint64), return_index=True)
+        first = first[:most]
+        words = _spelled(raw, starts[first], ends[first]).to_pylist()
+        return [[word for word, k in zip(words, kind[first], strict=True) if k == i] for i in range(len(self.prior))]
+
+    @classmethod
+    def fit(cls, texts: pa.Array, kinds: int, steps: int = 20, seed: int = 1) -> Kinds:
+        """By expectation maximisation."""
+        _, _, _, doc, hashes = _tokens_of(texts)
+        n = len(texts)
+        words, which, count = np.unique(hashes, return_inverse=True, return_counts=True)
+        top = np.sort(np.argsort(-count, kind="stable")[:KIND_WORDS])
+        column = np.full(len(words) + 1, len(top))
+        column[top] = np.arange(len(top))
+        table = np.zeros((n, len(top) + 1), np.float32)
+        np.add.at(table, (doc, column[which]), 1)
+        if not n or not len(top):
+            return cls(words[top], np.zeros((1, len(top) + 1)), np.zeros(1))
+        # Starts: the best of some spherical k-means over the most common of these words, where a text has enough of them.
+        common = np.sort(np.argsort(-table[:, :-1].sum(0), kind="stable")[:KIND_COMMON])
+        unit = np.sqrt(table[:, common])
+        full = (unit**2).sum(1) >= KIND_COMMON / 10
+        unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)
+        use = unit[full] if full.sum() >= kinds else unit
+        centres = max((spherical_kmeans(use, kinds, seed + i) for i in range(8)), key=lambda c: float((use @ c.T).max(1).sum()))
+        part = np.exp(30 * (unit @ centres.T))
+        part /= part.sum(1, keepdims=True)
+        for _ in range(steps):
+            prior = (part.sum(0) + 1) / (n + part.shape[1])
+            mass = part.T @ table + 0.1
+            logs = np.log(mass / mass.sum(1, keepdims=True))
+            each = np.log(prior) + table @ logs.T
+            part = np.exp(each - each.max(1, keepdims=True))
+            part /= part.sum(1, keepdims=True)
+        return cls(words[top], logs, np.log(prior))
+
+
+def _counted(batch: pa.RecordBatch, kinds: Kinds) -> pa.RecordBatch:
+    raw, starts, ends, doc, hashes = _tokens_of(batch.column("text"))
     train = batch.column("train").to_numpy(zero_copy_only=False)
+    k = len(kinds.prior)
+    kind = kinds.of(doc, hashes, batch.num_rows)
     _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-    counts = np.bincount(which, train[doc].astype(float), len(first)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([_spelled(raw, starts[first], ends[first]), pa.array(counts)], names=["word", "n"])
+    counts = np.bincount(which * k + kind[doc], train[doc].astype(float), len(first) * k).astype(np.int64).reshape(-1, k)
+    # The ends, under the name that no word has.
+    lasts = np.bincount(kind, train.astype(float), k).astype(np.int64)
+    counts = np.concatenate((counts, lasts[None, :]))
+    word = pa.concat_arrays([_spelled(raw, starts[first], ends[first]), pa.array([END], pa.binary())])
+    return pa.RecordBatch.from_arrays([word, *(pa.array(counts[:, i]) for i in range(k))], names=["word", *(f"n{i}" for i in range(k))])
 
 
-def word_counts(docs: DataFrame, train: Column) -> DataFrame:
-    """word (bytes), n: every distinct word of all texts and its number in training texts, 0 included."""
-    return arrow_map(docs.select("text", train.alias("train")), _counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def word_counts(docs: DataFrame, train: Column, kinds: Kinds) -> DataFrame:
+    """word (bytes), n0, n1, ...: every distinct word of all texts and its number in training texts of each kind, 0 included.
+
+    The word b" " stands for the end.
+    """
+    names = [f"n{i}" for i in range(len(kinds.prior))]
+    shared = docs.sparkSession.sparkContext.broadcast(kinds)
+    schema = "word binary, " + ", ".join(f"{name} long" for name in names)
+    rows = arrow_map(docs.select("text", train.alias("train")), lambda batch: _counted(batch, shared.value), schema)
+    return rows.groupBy("word").agg(*[F.sum(name).alias(name) for name in names])
 
 
-def fit(counts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    """Log probabilities of the pieces and the fallback, from each distinct training word once."""
-    weights = _start(vocabulary)
+def _expected(words: list[bytes], vocabulary: Vocabulary, weights: np.ndarray) -> np.ndarray:
+    uses = np.zeros(len(weights))
+    for _, lattice in _lattices(words, vocabulary):
+        uses += lattice.expected(lattice.weights(weights, PER_BYTE), np.ones(len(lattice.sizes)))
+    return uses
+
+
+def fit(counts: DataFrame, vocabulary: Vocabulary, starts: list[list[bytes]], rounds: int = ROUNDS) -> np.ndarray:
+    """[kinds, pieces + 1]: log probabilities of the pieces and the fallback, from each distinct training word of a kind once.
+
+    `rounds` rounds go over the words `starts` of each kind, the last one over all words of all
+    training texts.
+    """
     sc = counts.sparkSession.sparkContext
-    shared = sc.broadcast(vocabulary)
-    for _ in range(rounds):
-        now = sc.broadcast(weights)
-
-        def expected(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            uses = np.zeros(len(now.value))
-            for batch in batches:
-                for _, lattice in _lattices(batch.column("word").to_pylist(), shared.value):
-                    uses += lattice.expected(lattice.weights(now.value, PER_BYTE), np.ones(len(lattice.sizes)))
-            some = np.flatnonzero(uses)
-            if len(some):
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(uses[some])], names=["piece", "uses"])
-
-        # One row per piece: as many as the vocabulary has.
-        rows = (
-            counts.where("n > 0").mapInArrow(expected, "piece int, uses double")
-            .groupBy("piece").agg(F.sum("uses").alias("uses")).collect()
-        )
-        uses = np.full(len(weights), SMOOTHING)
-        for row in rows:
-            uses[row.piece] += row.uses
-        weights = np.log(uses / uses.sum())
-    return weights
+    weights = []
+    for words in starts:
+        own = _start(vocabulary)
+        for _ in range(rounds if words else 0):
+            uses = _expected(words, vocabulary, own) + SMOOTHING / 10
+            own = np.log(uses / uses.sum())
+        weights.append(own)
+    shared, now = sc.broadcast(vocabulary), sc.broadcast(weights)
 
+    def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uses = np.zeros((len(starts), len(now.value[0])))
+        for batch in batches:
+            for kind, own in enumerate(now.value):
+                here = batch.column("word").filter(pc.greater(batch.column(f"n{kind}"), 0))
+                uses[kind] += _expected(here.to_pylist(), shared.value, own)
+        kind, piece = np.nonzero(uses)
+        if len(kind):
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(piece, pa.int32()), pa.array(uses[kind, piece])], names=["kind", "piece", "uses"])
 
-def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
+    # One row for each piece and kind: bounded by the vocabulary.
+    rows = (
+        counts.where("n > 0").mapInArrow(expected, "kind int, piece int, uses double")
+        .groupBy("kind", "piece").agg(F.sum("uses").alias("uses")).toArrow()
+    )
+    uses = np.full((len(starts), len(weights[0])), SMOOTHING / 10)
+    uses[rows.column("kind").to_numpy(), rows.column("piece").to_numpy()] += rows.column("uses").to_numpy()
+    return np.log(uses / uses.sum(1, keepdims=True))
+
+
+def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int = ROUNDS, n_kinds: int = KINDS) -> DataFrame:
     """doc_id, k, train, n_tokens, n_known, train_tokens, base_score, score; one row per document.
 
     `train` marks the documents to learn from. score is the model's log10 probability of the whole
@@ -132,52 +233,69 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"), "text",
         F.coalesce(train, F.lit(False)).alias("train"),
     )
-    counts = materialize(word_counts(rows, F.col("train")), "words")
-    texts = rows.where("train").count()
+    some = rows.where("train").where(F.octet_length("text") <= KIND_BYTES).orderBy(F.xxhash64("id", "k"), "id", "k")
+    sample = some.limit(KIND_SAMPLE).select("text").toArrow().column("text").combine_chunks()
+    kinds = Kinds.fit(sample, n_kinds)
+    range_ = range(len(kinds.prior))
+    every = sum(F.col(f"n{i}") for i in range_)
+    counts = materialize(word_counts(rows, F.col("train"), kinds).withColumn("n", every), "words")
+    is_end = F.col("word") == F.lit(END)
     sums = counts.agg(
-        F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v"), F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")
+        F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v"),
+        F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in range_], *[F.count_if(F.col(f"n{i}") > 0).alias(f"v{i}") for i in range_],
+        F.sum(F.when(is_end, F.col("n"))).alias("texts"), *[F.sum(F.when(is_end, F.col(f"n{i}"))).alias(f"texts{i}") for i in range_],
     ).first()
-    total, distinct = (sums.n or 0) + texts, sums.v + (texts > 0)
-    weights = fit(counts, vocabulary, rounds)
-    # The usual estimate of the discount; the end is never discounted, and no text without an end is possible.
+    total, distinct, texts = sums.n or 0, sums.v or 0, sums.texts or 0
+    weights = fit(counts.where(~is_end), vocabulary, kinds.words_of(sample), rounds)
     discount = sums.once / (sums.once + 2 * sums.twice) if sums.once and sums.twice else 0.5
-    end = float(np.log10((texts + SMOOTHING) / (total + SMOOTHING)))
-    spare = (discount * sums.v + SMOOTHING) / (total + SMOOTHING)
+    tokens = np.array([sums[f"n{i}"] or 0 for i in range_]) + SMOOTHING
+    spare = (discount * np.array([sums[f"v{i}"] or 0 for i in range_]) + SMOOTHING) / tokens
+    spare_all = (discount * distinct + SMOOTHING) / (total + SMOOTHING)
+    # The end is never discounted; a kind's weight is its share of training texts.
+    ends_of = np.array([sums[f"texts{i}"] or 0 for i in range_]) + SMOOTHING
+    end = np.log10(ends_of / (tokens + SMOOTHING)) + np.log10(ends_of / ends_of.sum())
     shared, fitted = sc.broadcast(vocabulary), sc.broadcast(weights)
 
     def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = batch.column("word").to_pylist()
-        out = np.empty(len(words))
+        p = np.empty((len(kinds.prior), len(words)))
         for part, lattice in _lattices(words, shared.value):
-            out[part] = lattice.forward(lattice.weights(fitted.value, PER_BYTE))[1]
-        n = batch.column("n").to_numpy()
-        with np.errstate(divide="ignore"):
-            whole = np.log(np.maximum(n - discount, 0) / (total + SMOOTHING))
-        out = np.logaddexp(whole, out + np.log(spare))
+            for kind, weights in enumerate(fitted.value):
+                p[kind, part] = lattice.forward(lattice.weights(weights, PER_BYTE))[1]
+
+        def whole(name: str, over: float) -> np.ndarray:
+            return np.maximum(batch.column(name).to_numpy() - discount, 0) / over
+
+        p = np.logaddexp(_log(whole("n", total + SMOOTHING)), p + np.log(spare_all))
+        each = [np.logaddexp(_log(whole(f"n{i}", tokens[i])), p[i] + np.log(spare[i])) / np.log(10) for i in range_]
         raw, offsets = string_buffer(batch.column("word"))
         hashes = H.stretch_hashes(raw, offsets[:-1], offsets[1:]).view(np.int64)
         return pa.RecordBatch.from_arrays(
-            [batch.column("word"), batch.column("n"), pa.array(out / np.log(10)), pa.array(hashes)], names=["word", "n", "p", "hash"]
+            [batch.column("word"), batch.column("n"), pa.array(hashes), *(pa.array(x) for x in each)],
+            names=["word", "n", "hash", *p_names],
         )
 
-    words = materialize(arrow_map(counts, scored, "word binary, n long, p double, hash long", None), "scores")
+    p_names = [f"p{i}" for i in range_]
+    words = materialize(arrow_map(
+        counts.where(~is_end), scored, "word binary, n long, hash long, " + ", ".join(f"{name} double" for name in p_names), None
+    ), "scores")
     # Fewer than FREQUENT words can have more than that part of all tokens.
-    top = words.where(F.col("n") > F.lit(total / FREQUENT)).select("hash", "n", "p").toArrow().sort_by("hash")
-    top = sc.broadcast(tuple(top.column(name).to_numpy() for name in ("hash", "n", "p")))
+    top = words.where(F.col("n") > F.lit(total / FREQUENT)).select("hash", "n", *p_names).toArrow().sort_by("hash")
+    top = sc.broadcast([top.column(name).to_numpy() for name in ("hash", "n", *p_names)])
     norm = float(np.log10(total + SMOOTHING * (distinct + 1)))
-    end_count = texts
 
     def summed(batch: pa.RecordBatch) -> pa.RecordBatch:
         """One row per document with the sums over frequent words, one per document and other word."""
-        raw, starts, ends, doc, hashes = _tokens(batch)
+        raw, starts, ends, doc, hashes = _tokens_of(batch.column("text"))
         n = batch.num_rows
-        known, count, p = top.value
+        known, count, *p = top.value
         at = np.minimum(np.searchsorted(known, hashes.view(np.int64)), max(0, len(known) - 1))
         here = known[at] == hashes.view(np.int64) if len(known) else np.zeros(len(hashes), bool)
         at, owner = at[here], doc[here]
-        base = np.bincount(owner, np.log10(count[at] + SMOOTHING) - norm, n) + np.log10(end_count + SMOOTHING) - norm
-        model = np.bincount(owner, p[at], n) + end
-        n_known = np.bincount(owner, minlength=n) + (end_count > 0)
+        base = np.bincount(owner, np.log10(count[at] + SMOOTHING) - norm, n) + np.log10(texts + SMOOTHING) - norm
+        model = [np.bincount(owner, x[at], n) + last for x, last in zip(p, end, strict=True)]
+        n_known = np.bincount(owner, minlength=n) + (texts > 0)
         rest = np.flatnonzero(~here)
         order = rest[np.lexsort((hashes[rest], doc[rest]))]
         cut = np.ones(len(order), bool)
@@ -197,25 +315,29 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
                 pa.concat_arrays([batch.column("train"), pa.nulls(len(some), pa.bool_())]),
                 pa.array(np.concatenate((tokens, times))),
                 pa.concat_arrays([pa.array(n_known.astype(float)), nothing]),
-                pa.concat_arrays([pa.array(base), nothing]), pa.concat_arrays([pa.array(model), nothing]),
+                pa.concat_arrays([pa.array(base), nothing]), *(pa.concat_arrays([pa.array(x), nothing]) for x in model),
             ],
-            names=["word", "id", "k", "train", "times", "known", "base", "model"],
+            names=["word", "id", "k", "train", "times", "known", "base", *m_names],
         )
 
-    parts = arrow_map(rows, summed, "word binary, id long, k int, train boolean, times long, known double, base double, model double")
+    m_names = [f"m{i}" for i in range_]
+    schema = "word binary, id long, k int, train boolean, times long, known double, base double, "
+    parts = arrow_map(rows, summed, schema + ", ".join(f"{name} double" for name in m_names))
     counted = F.coalesce("n", F.lit(0))
-    joined = parts.join(words.select("word", "n", "p"), "word", "left")
+    joined = parts.join(words.select("word", "n", *p_names), "word", "left")
     per_document = joined.groupBy("id", "k").agg(
-        F.count("model").alias("copies"), F.first("train", ignorenulls=True).alias("train"),
-        F.sum(F.when(F.col("model").isNotNull(), F.col("times"))).alias("n_tokens"),
+        F.count("base").alias("copies"), F.first("train", ignorenulls=True).alias("train"),
+        F.sum(F.when(F.col("base").isNotNull(), F.col("times"))).alias("n_tokens"),
         F.sum(F.coalesce(F.col("known").cast("long"), F.when(counted > 0, F.col("times")).otherwise(0))).alias("n_known"),
         F.sum(F.coalesce("base", F.col("times") * (F.log10(counted + SMOOTHING) - norm))).alias("base_score"),
-        F.sum(F.coalesce("model", F.col("times") * F.col("p"))).alias("score"),
+        *[F.sum(F.coalesce(m, F.col("times") * F.col(p))).alias(m) for m, p in zip(m_names, p_names, strict=True)],
     )
     copies = F.col("copies")
+    most = F.greatest(*m_names) if len(m_names) > 1 else F.col("m0")
+    marginal = (most + F.lit(0.0)) / copies + F.log10(sum(F.pow(F.lit(10.0), (F.col(m) - most) / copies) for m in m_names))
     return per_document.select(
         F.nullif("id", F.lit(LAST)).alias("doc_id"), "k", "train",
         (F.col("n_tokens") / copies).cast("long").alias("n_tokens"), (F.col("n_known") / copies).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") / copies).alias("base_score"),
-        (F.col("score") / copies).alias("score"), F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
+        marginal.alias("score"), F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
     ).drop("copy")
