@@ -215,8 +215,8 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """One document of each component, the one with the smallest id, with its own columns.
 
-    Rows without words stay, as do rows with null ids that are alone in their component. Of rows
-    that share the smallest id, one stays.
+    Documents without words stay, as do those with null ids whose component has no other. Rows with
+    the same id and text are one document, of which one row stays.
     """
     found = near_duplicates(docs, **settings)
     keep = found.select(
@@ -228,4 +228,5 @@ def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"),
     )
-    return rows.join(keep.where("kept or not full").select("id", "k"), ["id", "k"]).select("row.*")
+    chosen = rows.join(keep.where("kept or not full").select("id", "k"), ["id", "k"])
+    return chosen.dropDuplicates(["id", "k"]).select("row.*")

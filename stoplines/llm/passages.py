@@ -252,7 +252,7 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, stretch: int = STR
     return dealt.mapInArrow(lambda batches: _shards(batches, window), "id long, k int, start int, end int")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, stretch: int = STRETCH, hot_share: int = HOT_SHARE) -> DataFrame:
     """`docs` with n_bytes, n_removed, n_spans and kept, the UTF-8 bytes that stay.
 
     A byte goes if a string of `window` bytes that covers it also starts elsewhere, in the same or
@@ -261,7 +261,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     results = ["n_bytes", "n_removed", "n_spans", "kept"]
     docs = docs.drop(*results)
-    found = repeated_stretches(docs, window).groupBy("id", "k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    found = repeated_stretches(docs, window, stretch, hot_share).groupBy("id", "k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"]).alias("row"), "text",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"),

@@ -128,7 +128,7 @@ def _names(text: np.ndarray, lms: np.ndarray) -> np.ndarray:
         same = group[1:] == group[:-1]
         tied[1:] |= same
         tied[:-1] |= same
-        tied &= size[order[at]] > done
+        tied &= size[order[at]] >= done  # the end itself is yet to be compared
         if not tied.any():
             break
         at, group = at[tied], group[tied]
