@@ -33,6 +33,7 @@ SIMILARITY = 80  # percent
 COORDINATES = 32
 MATCHES = 14
 ROUNDS = 2
+SHORT = 8
 BLOCK = 512  # classes of one posting list compared at a time
 LAST = np.iinfo(np.int64).max
 
@@ -114,9 +115,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def _cross_pairs(posts: DataFrame, matches: int, block: int) -> DataFrame:
-    """Pairs of classes of different components in one list, with enough equal coordinates."""
+    """Pairs of classes of different components in one list, with enough equal coordinates.
+
+    Lists of up to SHORT classes are joined with themselves; longer ones are compared in blocks.
+    """
     mixed = posts.groupBy("value").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = posts.join(mixed.where("low <> high").select("value", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "value")
+    listed = materialize(posts.join(mixed.where("low <> high").select("value", "n"), "value"), "mixed")
+    short = listed.where(F.col("n") <= SHORT)
+    one = short.select("value", F.col("cls").alias("a"), F.col("signature").alias("sign_a"), F.col("component").alias("of_a"))
+    two = short.select("value", F.col("cls").alias("b"), F.col("signature").alias("sign_b"), F.col("component").alias("of_b"))
+    near = (
+        one.join(two, "value").where("a < b AND of_a <> of_b")
+        .where(F.size(F.array_intersect("sign_a", "sign_b")) >= matches).select("a", "b")
+    )
+    rows = listed.where(F.col("n") > SHORT).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
@@ -139,7 +151,8 @@ def _cross_pairs(posts: DataFrame, matches: int, block: int) -> DataFrame:
         names = group["cls"].to_numpy()
         return pd.DataFrame({"a": names[one], "b": names[two]})
 
-    return rows.groupBy("value", "low", "high").applyInPandas(compare, "a binary, b binary").distinct()
+    far = rows.groupBy("value", "low", "high").applyInPandas(compare, "a binary, b binary")
+    return near.union(far).distinct()
 
 
 def near_duplicates(

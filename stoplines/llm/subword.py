@@ -157,8 +157,8 @@ def encode(docs: DataFrame, path: str = VOCABULARY, chunk: int = CHUNK) -> DataF
     """`docs` with `pieces`, an array of ids; decode(encode(text)) is the text.
 
     Spaces become part of pieces, one more stands before the text; characters without a piece become
-    byte pieces. Of equally good segmentations one with longer pieces at the end is taken. A null or
-    empty text has no pieces. Rows need no ids; a column named `pieces` is replaced.
+    byte pieces. Of equally good segmentations one with longer pieces at the end is taken, in long
+    documents chunk by chunk. A null or empty text has no pieces. Rows need no ids; a column named `pieces` is replaced.
     """
     vocabulary = Vocabulary.load(path)
     docs = docs.drop("pieces")
