@@ -15,21 +15,23 @@ ALIASES = {"yorckstra_e__gro_g_rschenstra_e_": 8089051}
 
 
 def station_dim(raw: DataFrame) -> DataFrame:
-    """One row per main station number; the last one in the list wins.
+    """One row per main station number; the last one in the list (by file, then place) wins.
 
-    Stations without a main number are dropped. Coordinates come as (longitude, latitude).
+    Stations without a main number are dropped. Coordinates come as (longitude, latitude); one
+    that is no coordinate is NULL.
     """
     main = F.try_element_at(F.filter("evaNumbers", lambda e: e["isMain"]), F.lit(1))
+    order = [c for c in ("file", "pos") if c in raw.columns]
     point = F.col("main.geographicCoordinates.coordinates")
     rows = raw.withColumn("main", main).select(
         F.col("main.number").alias("station_eva"),
         normalize_name(F.col("name")).alias("station_name"),
-        F.try_element_at(point, F.lit(2)).cast("decimal(9,6)").alias("latitude"),
-        F.try_element_at(point, F.lit(1)).cast("decimal(9,6)").alias("longitude"),
-        "pos",
+        F.try_element_at(point, F.lit(2)).try_cast("decimal(9,6)").alias("latitude"),
+        F.try_element_at(point, F.lit(1)).try_cast("decimal(9,6)").alias("longitude"),
+        *order,
     )
     known = rows.filter(F.col("station_eva").isNotNull())
-    return keep_last(known, ["station_eva"], ["pos"]).drop("pos")
+    return keep_last(known, ["station_eva"], order).drop(*order)
 
 
 def date_dim(ranges: DataFrame, start: str = "range_start", end: str = "range_end") -> DataFrame:

@@ -2,9 +2,10 @@
 
     docs      <out>/staging/{planned,changed}_docs    every document parsed once
     dims      dim_stations, dim_time, dim_train_profiles
-    facts     fact_train_stops
+    facts     fact_train_stops                        one folder per snapshot day
     layers    planned_events, changed_events          one folder per day
-    reports   corrupt_documents, orphan_stops, dropped_stations
+    reports   corrupt_documents, unresolved_documents, stops_without_id, orphan_stops,
+              orphan_stations, dropped_stations
 
 Everything is written to a new snapshot folder. A later run can start from an earlier
 snapshot: existing stations are updated, existing days, profiles and stops stay.
@@ -15,6 +16,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stoplines.operators.dims import date_dim, profile_dim, station_dictionary, station_dim
@@ -37,9 +39,13 @@ from stoplines.sources.feed import (
     stop_changes,
 )
 from stoplines.sources.stations import read_stations
-from stoplines.sources.tables import read_table, write_by_date, write_table
+from stoplines.sources.tables import read_table, write_by_date, write_by_day, write_table
 
-POSITION = ["archive", "seq", "pos"]
+REPORTS = (
+    "corrupt_documents", "unresolved_documents", "stops_without_id", "orphan_stops", "orphan_stations", "dropped_stations",
+)
+# Documents of an archive, and stops of a document, that a position has room for.
+ROOM = 10**12
 
 # Column order of the fact table, and the defaults of a stop without changes.
 FACT_COLUMNS = [
@@ -58,6 +64,21 @@ FACT_COLUMNS = [
 ]
 
 
+def with_position(rows: DataFrame, archives: DataFrame) -> DataFrame:
+    """Replace archive, seq and pos by `position`, one number with the same order.
+
+    Aggregations on a number hash, those on a struct sort. `archives` lists the archives.
+    """
+    # One row per file of the delivery.
+    number = F.row_number().over(W.orderBy("archive")) - 1
+    numbers = archives.select("archive").distinct().withColumn("_number", number.cast("decimal(10,0)"))
+    place = (F.col("_number") * ROOM + F.col("seq")) * ROOM + F.col("pos")
+    return (
+        rows.join(numbers, "archive").withColumn("position", place.cast("decimal(38,0)"))
+        .drop("archive", "seq", "pos", "_number")
+    )
+
+
 def with_defaults(stops: DataFrame) -> DataFrame:
     """Planned stops before any change: no actual times, delays 0, not cancelled."""
     return stops.withColumns({
@@ -80,6 +101,10 @@ def with_profile_id(stops: DataFrame, profiles: DataFrame) -> DataFrame:
     return stops.join(known, same).drop("train_number", "train_type", "_number", "_type")
 
 
+def archive_names(docs: DataFrame) -> DataFrame:
+    return docs.select("archive").distinct()
+
+
 def run_ingest(
     spark: SparkSession,
     stations_json: str,
@@ -103,9 +128,12 @@ def run_ingest(
         news = stations.withColumn("_order", F.lit(0))
         stations = upsert(before("dim_stations"), news, ["station_eva"], ["_order"])
     stations = store(stations, "dim_stations")
-    has_main = F.exists("evaNumbers", lambda e: e["isMain"])
+    main = F.try_element_at(F.filter("evaNumbers", lambda e: e["isMain"]), F.lit(1))
+    point = main["geographicCoordinates"]["coordinates"]
+    wrong = F.exists(point, lambda x: x.isNotNull() & x.try_cast("decimal(9,6)").isNull())
+    reason = F.when(main["number"].isNull(), "no main number").when(wrong, "wrong coordinate")
     store(
-        listed.filter(~F.coalesce(has_main, F.lit(False))).select("pos", "name"), "dropped_stations"
+        listed.select("file", "pos", "name", reason.alias("reason")).filter("reason IS NOT NULL"), "dropped_stations"
     )
 
     days = date_dim(archive_ranges(spark, timetables))
@@ -134,7 +162,21 @@ def run_ingest(
         resolved = store(
             fuzzy_resolve(station_names(planned), station_dictionary(stations)), "staging/station_names"
         )
-        stops = planned_stops(resolve_station(planned, resolved)).filter(F.col("stop_id").isNotNull())
+        located = resolve_station(planned, resolved, keep=True)
+        unknown = F.col("station_eva").isNull()
+        store(
+            located.filter(unknown & F.col("corrupt").isNull()).select("archive", "seq", "member", "station", "file_station"),
+            "unresolved_documents",
+        )
+        # Parsed times and stops are stored once: profiles, reports and facts all read them.
+        rows = with_position(planned_stops(located.filter(~unknown)), archive_names(planned))
+        rows = store(rows.drop("station", "file_station"), "staging/planned_stops")
+        named = F.col("stop_id").isNotNull()
+        store(rows.filter(~named), "stops_without_id")
+        # An alias may stand for a station that the list lacks.
+        lost = store(orphans(rows.filter(named), stations, "station_eva"), "orphan_stations")
+        missing = lost.select("station_eva").distinct()
+        stops = rows.filter(named).join(missing, "station_eva", "left_anti")
 
         profiles = store(profile_dim(stops, before("dim_train_profiles")), "dim_train_profiles")
 
@@ -143,12 +185,13 @@ def run_ingest(
         dated = stops.join(day, F.col("date_id") == F.col("_day"), "left").filter(
             F.col("_day").isNotNull() | F.col("date_id").isNull()
         )
-        first = keep_first(dated, ["stop_id"], POSITION)
+        first = keep_first(dated, ["stop_id"], ["position"])
         facts = with_defaults(with_profile_id(first, profiles)).select(*FACT_COLUMNS)
         if previous:
-            facts = insert_absent(before("fact_train_stops"), facts, ["stop_id"], ["stop_id"])
-        folded = fold_changes(stop_changes(changed))
-        store(apply_changes(facts, folded), "fact_train_stops")
+            facts = insert_absent(before("fact_train_stops").select(*FACT_COLUMNS), facts, ["stop_id"], ["stop_id"])
+        changes = with_position(stop_changes(changed), archive_names(changed))
+        folded = fold_changes(changes, order=("position",))
+        write_by_day(apply_changes(facts, folded), "date_id", f"{out}/fact_train_stops")
 
     # These do not depend on each other: jobs of one use the cores that another leaves idle.
     parts = [store_planned_layer, store_changed_layer, store_facts]

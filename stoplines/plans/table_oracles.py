@@ -74,7 +74,10 @@ folded AS (
   GROUP BY user_id
 )"""
 
-_LINES = "l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_returnflag"
+_LINES = (
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+    "l_returnflag, l_linestatus, l_shipdate"
+)
 
 
 def _ranked(where: str, direction: str) -> str:
@@ -165,14 +168,14 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, turn, eva AS station_eva FROM conversations JOIN roles USING (role)""",
     "keep_first": _ranked("true", "ASC"),
     "insert_absent": f"""
-        WITH target AS (SELECT {_LINES} FROM lineitem WHERE l_returnflag = 'A'),
+        WITH target AS (SELECT {_LINES} FROM lineitem WHERE l_returnflag <> 'N'),
         fresh AS ({_ranked("l_returnflag = 'N'", "ASC")})
         SELECT * FROM target
         UNION ALL SELECT * FROM fresh WHERE NOT EXISTS (
           SELECT 1 FROM target t
           WHERE t.l_orderkey = fresh.l_orderkey AND t.l_linenumber = fresh.l_linenumber)""",
     "upsert": f"""
-        WITH target AS (SELECT {_LINES} FROM lineitem WHERE l_returnflag = 'A'),
+        WITH target AS (SELECT {_LINES} FROM lineitem WHERE l_returnflag <> 'N'),
         fresh AS ({_ranked("l_returnflag = 'N'", "DESC")})
         SELECT * FROM fresh
         UNION ALL SELECT * FROM target WHERE NOT EXISTS (
@@ -254,7 +257,7 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (WHERE event_type = 'error') AS n_missing
         FROM events""",
     "partitioned_roundtrip": """
-        SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS date FROM events""",
+        SELECT *, CAST(ts AS DATE) AS date FROM events""",
     "unpivot_events": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'arrival' AS event_type,
                l_shipdate AS time, l_quantity AS amount
@@ -276,17 +279,17 @@ ORACLES: dict[str, str] = {
     "archive_members": f"""
         WITH {_FEED},
         numbered AS (
-          SELECT month, file_station,
-                 (row_number() OVER (PARTITION BY month, file_station) - 1) // 1000 AS part
+          SELECT month, l_orderkey // 4000000 AS low, file_station,
+                 (row_number() OVER (PARTITION BY month, l_orderkey // 4000000, file_station) - 1) // 1000 AS part
           FROM feed)
-        SELECT 'part0_' || strftime(month, '%y%m%d') || '_' || strftime(last_day(month), '%y%m%d')
+        SELECT 'part' || (low // 4000000) || '_' || strftime(month, '%y%m%d') || '_' || strftime(last_day(month), '%y%m%d')
                  || '.tar.gz' AS archive,
-               row_number() OVER (PARTITION BY month ORDER BY file_station, part) - 1 AS seq,
+               row_number() OVER (PARTITION BY month, low ORDER BY file_station, part) - 1 AS seq,
                strftime(month, '%y%m%d') || '_' || lpad(CAST(part AS VARCHAR), 4, '0') || '/'
                  || file_station || '_timetable.xml' AS member,
                month AS range_start, last_day(month) AS range_end, month AS snapshot_date,
                file_station, CAST(count(*) AS INT) AS n_stops
-        FROM numbered GROUP BY month, file_station, part""",
+        FROM numbered GROUP BY month, low, file_station, part""",
     "planned_stops": f"""
         WITH {_FEED}
         SELECT stop_id, l_linestatus AS train_type, o_orderpriority AS train_number, train_line,
@@ -331,6 +334,17 @@ ORACLES: dict[str, str] = {
                END AS departure_delay_minutes,
                cancelled AS is_cancelled
         FROM first JOIN folded USING (stop_id) JOIN profiles USING (o_orderpriority, l_linestatus)""",
+    "ingest_cancelled": f"""
+        WITH {_FEED},
+        first AS (
+          SELECT * FROM stops
+          QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY l_shipdate, l_partkey, l_suppkey) = 1),
+        ever AS (SELECT stop_id, bool_or(flagged) AS cancelled FROM feed GROUP BY stop_id)
+        SELECT count(*) AS cancelled FROM first JOIN ever USING (stop_id)
+        WHERE cancelled AND month = DATE '2006-03-01' AND (hour(pt_arrival) = 4 OR hour(pt_departure) = 4)""",
+    "ingest_reports": """
+        SELECT * FROM (VALUES ('corrupt_documents', CAST(0 AS BIGINT)), ('dropped_stations', 0), ('orphan_stations', 0),
+          ('orphan_stops', 0), ('stops_without_id', 0), ('unresolved_documents', 0)) AS t(report, n_rows)""",
     "ingest_days": f"""
         WITH {_FEED},
         days AS (

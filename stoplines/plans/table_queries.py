@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from stoplines.functions.text import clean_text, normalize_name
 from stoplines.functions.times import feed_text, feed_time
 from stoplines.operators import delays, dims, geo, graph, merge, names, quality, stations
-from stoplines.plans.ingest import run_ingest, with_defaults
+from stoplines.plans.ingest import FACT_COLUMNS, REPORTS, run_ingest, with_defaults
 from stoplines.plans.table_feed import table_feed
 from stoplines.sources.archives import path_metadata, read_archives
 from stoplines.sources.feed import (
@@ -31,7 +32,6 @@ CANCEL_DATE, CANCEL_HOUR = "2024-01-27", 7
 POINT = (4500.0, 12.0)
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-LINE_COLUMNS = [*LINE_KEY, *LINE_ORDER, "l_quantity", "l_returnflag"]
 
 
 class Tables:
@@ -182,12 +182,12 @@ def resolve_station(t: Tables) -> DataFrame:
 
 
 def keep_first(t: Tables) -> DataFrame:
-    return merge.keep_first(t.lineitem.select(*LINE_COLUMNS), LINE_KEY, LINE_ORDER)
+    return merge.keep_first(t.lineitem, LINE_KEY, LINE_ORDER)
 
 
 def _target_and_new(t: Tables) -> tuple[DataFrame, DataFrame]:
-    lines = t.lineitem.select(*LINE_COLUMNS)
-    return lines.filter(F.col("l_returnflag") == "A"), lines.filter(F.col("l_returnflag") == "N")
+    new = F.col("l_returnflag") == "N"
+    return t.lineitem.filter(~new), t.lineitem.filter(new)
 
 
 def insert_absent(t: Tables) -> DataFrame:
@@ -288,7 +288,7 @@ def quality_summary(t: Tables) -> DataFrame:
 
 def partitioned_roundtrip(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "by-date")
-    write_by_date(t.events.drop("props"), "ts", path)
+    write_by_date(t.events, "ts", path)
     return read_table(t.spark, path)
 
 
@@ -373,7 +373,20 @@ def _snapshot(t: Tables, name: str) -> DataFrame:
 
 
 def ingest_facts(t: Tables) -> DataFrame:
-    return _snapshot(t, "fact_train_stops")
+    return _snapshot(t, "fact_train_stops").select(*FACT_COLUMNS)
+
+
+def ingest_cancelled(t: Tables) -> DataFrame:
+    """Cancelled stops of a day and hour, from the facts of that day only."""
+    return delays.count_cancelled(_snapshot(t, "fact_train_stops"), "2006-03-01", 4)
+
+
+def ingest_reports(t: Tables) -> DataFrame:
+    """Rows of each report of the ingest job; the feed has no faults."""
+    counts = [
+        _snapshot(t, name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("report"), "n_rows") for name in sorted(REPORTS)
+    ]
+    return reduce(DataFrame.union, counts)
 
 
 def ingest_days(t: Tables) -> DataFrame:
@@ -430,6 +443,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "changed_events": changed_event_rows,
     "station_dim": station_dim,
     "ingest_facts": ingest_facts,
+    "ingest_cancelled": ingest_cancelled,
+    "ingest_reports": ingest_reports,
     "ingest_days": ingest_days,
     "ingest_profiles": ingest_profiles,
     "ingest_daily_delay": ingest_daily_delay,

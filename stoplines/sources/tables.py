@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Rows of one day that one task writes to one file.
+ROWS_PER_FILE = 4_000_000
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A stored table. With a schema also a layer without any row can be read."""
@@ -17,11 +20,26 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
 
-def write_by_date(df: DataFrame, time: str, path: str, append: bool = False) -> None:
-    """Replace `path` by the rows of `df`, or add them, in one folder per day of the column `time`.
+def write_by_day(
+    df: DataFrame, day: str, path: str, append: bool = False, rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """Replace `path` by the rows of `df`, or add them, in one folder per value of `day`.
 
-    The rebalance collects a day's rows into few files, and AQE splits a day that is
-    too large for one task.
+    A day goes to one task, or to as many as its rows need. Days are dealt over a fixed number
+    of tasks, which AQE doesn't merge: opening a file takes longer than filling it, so that many
+    small days must be written side by side.
     """
-    dated = df.withColumn("date", F.to_date(time)).hint("rebalance", F.col("date"))
-    dated.write.mode("append" if append else "overwrite").partitionBy("date").parquet(path)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = df.groupBy(F.col(day).alias("_day")).agg(
+        F.ceil(F.count("*") / rows_per_file).cast("int").alias("_files")
+    )
+    dealt = df.join(files, F.col(day).eqNullSafe(F.col("_day")), "left").withColumn(
+        "_file", F.pmod(F.xxhash64(*df.columns), F.col("_files"))
+    )
+    dealt = dealt.repartition(tasks, day, "_file").select(*df.columns)
+    dealt.write.mode("append" if append else "overwrite").partitionBy(day).parquet(path)
+
+
+def write_by_date(df: DataFrame, time: str, path: str, append: bool = False) -> None:
+    """As `write_by_day`, with the day of the column `time` as `date`."""
+    write_by_day(df.withColumn("date", F.to_date(time)), "date", path, append)

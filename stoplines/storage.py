@@ -15,8 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A path for a new table in the shared scratch folder; nothing is created yet."""
+def _hadoop_path(spark: SparkSession, path: str):
+    """The path with the scheme and host that Spark would use, and its file system."""
+    plain = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = plain.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(plain), files
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application in the shared scratch folder."""
     context = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
@@ -24,7 +31,19 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stoplines-"))
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    # Python tasks must see the same file system as Spark, whatever the default one is.
+    return _hadoop_path(spark, f"{base.rstrip('/')}/stoplines-{context.applicationId}")[0].toString()
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A path for a new table in the shared scratch folder; nothing is created yet."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables of this application; results that still read them become invalid."""
+    path, files = _hadoop_path(spark, scratch_root(spark))
+    files.delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
