@@ -15,6 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and host that Spark reads it from."""
+    return _hadoop_path(spark, path)[0].toString()
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     """The path with the scheme and host that Spark would use, and its file system."""
     plain = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as app
 
 FOLDER = Path(app.SMOKE_DIR)
-ORACLES = app.oracle_sql()
+ORACLES = app.ORACLES
 
 pytestmark = pytest.mark.skipif(not FOLDER.is_dir(), reason="needs the generated tables")
 
@@ -27,7 +27,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(app.queries())
+    assert set(ORACLES) == set(app.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as app
 from stoplines.operators import delays, graph, merge, stations
+from stoplines.plans.ingest import archive_names, with_position
+from stoplines.sources.feed import stop_changes
+from stoplines.sources.tables import write_by_day
 
 FOLDER = app.SMOKE_DIR
 
@@ -31,7 +34,7 @@ def layers(spark, tmp_path_factory):
 READERS = {"archive_members", "planned_stops", "stop_changes", "planned_events", "changed_events"}
 
 
-@pytest.mark.parametrize("name", sorted(app.queries()))
+@pytest.mark.parametrize("name", sorted(app.QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
     text = physical(app.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
@@ -96,3 +99,36 @@ def test_station_keys_are_broadcast_only_if_few(spark, monkeypatch):
         assert "BroadcastHashJoin" not in physical(delays.mean_delay(facts, dims, "x"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_folding_by_one_number_hashes(spark, small):
+    """As in the ingest job: a position is one number, which Spark aggregates without sorting."""
+    docs = getattr(small, "staging/changed_docs")
+    changes = with_position(stop_changes(docs), archive_names(docs))
+    text = physical(merge.fold_changes(changes, order=("position",)))
+    assert "SortAggregate" not in text and text.count("HashAggregate") >= 2
+
+
+def test_positions_keep_the_order(spark):
+    rows = [(a, s, p) for a in ("b_1", "a_2", "a_1") for s in (0, 7) for p in (3, 11)]
+    df = spark.createDataFrame(rows, "archive string, seq long, pos int").withColumn("was", F.struct("archive", "seq", "pos"))
+    found = with_position(df, df).orderBy("position").collect()
+    assert [tuple(r.was) for r in found] == sorted(rows)
+
+
+def test_facts_of_a_day_are_pruned(small):
+    counted = delays.count_cancelled(small.fact_train_stops, "2025-09-02", 15)
+    assert counted.first()[0] == 1
+    assert re.search(r"PartitionFilters: \[isnotnull\(date_id.*2025-09-02", physical(counted))
+
+
+def test_days_are_written_by_several_tasks(spark, tmp_path):
+    days = spark.range(400).select(
+        F.col("id").alias("n"), F.date_add(F.lit("2025-01-01").cast("date"), F.when(F.col("id") < 200, 0).otherwise(F.col("id")).cast("int")).alias("day")
+    )
+    write_by_day(days, "day", str(tmp_path / "t"), rows_per_file=50)
+    files = [p for p in (tmp_path / "t").rglob("part-*.parquet")]
+    assert len({p.name.split("-")[1] for p in files}) == 4
+    # the hot day is split, and no row is lost
+    assert len(list((tmp_path / "t" / "day=2025-01-01").glob("part-*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 400
