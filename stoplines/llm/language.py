@@ -233,8 +233,10 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"), "text",
         F.coalesce(train, F.lit(False)).alias("train"),
     )
-    some = rows.where("train").where(F.octet_length("text") <= KIND_BYTES).orderBy(F.xxhash64("id", "k"), "id", "k")
-    sample = some.limit(KIND_SAMPLE).select("text").toArrow().column("text").combine_chunks()
+    some = rows.where("train").where(F.octet_length("text") <= KIND_BYTES).select("id", "k").distinct()
+    some = some.orderBy(F.xxhash64("id", "k"), "id", "k").limit(KIND_SAMPLE)
+    sample = rows.join(F.broadcast(some), ["id", "k"]).dropDuplicates(["id", "k"]).orderBy("id", "k")
+    sample = sample.select("text").toArrow().column("text").combine_chunks()
     kinds = Kinds.fit(sample, n_kinds)
     range_ = range(len(kinds.prior))
     every = sum(F.col(f"n{i}") for i in range_)

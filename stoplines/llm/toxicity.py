@@ -2,10 +2,10 @@
 
 The features are densities of lexicon words and stems, how near they stand to a second person, and
 rates of capitals, punctuation and obfuscation. Lexicon, trees and calibration are fitted on the
-driver, on at most SAMPLE labelled documents of each class, the first by a hash of their ids, none longer than half a
-megabyte; a third
-of them is kept back for the calibration, in which the classes have their share among all training
-labels.
+driver, on at most SAMPLE labelled documents of each class, the first by a hash of their ids, none
+longer than half a megabyte. Features for the trees, and scores for the calibration, come from parts
+of the sample that the document is not in; in the calibration the classes have their share among all
+training labels.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from stoplines.llm import hashing as H
 from stoplines.llm.common import arrow_map, labelled_sample, string_buffer
 
 SAMPLE = 3000
-STEMS = (4, 5, 6)  # bytes at the start of a word
-HOLDERS = 4  # documents of the sample that an entry of the lexicon needs
+FOLDS = 3
+STEMS = (4, 5, 6, 7, 8)  # bytes at the start of a word
+HOLDERS = 3  # documents of the sample that an entry of the lexicon needs
 ODDS = 1.5  # and its least log odds, one way or the other
 STRONG = 3.0
 NEAR = 5  # words
@@ -236,30 +237,37 @@ class Model:
         return np.clip(level + 1e-6 * np.tanh(raw / 10), 0.0, 1.0)
 
 
-def fit(texts: list[str], labels: np.ndarray, share: float, third: np.ndarray) -> Model:
-    """`share`: of label 1 among all training labels; `third`: the documents kept for calibration."""
+def fit(texts: list[str], labels: np.ndarray, share: float, part: np.ndarray) -> Model:
+    """`share`: of label 1 among all training labels; `part`: the part, of FOLDS, of each document."""
     if not 0 < labels.sum() < len(labels):
         return Model(Lexicon(), None, np.zeros(1), np.array([share if len(labels) else 0.0]))
-    for part in (third, ~third):
-        if not 0 < labels[part].sum() < part.sum():
-            third = np.zeros(len(labels), bool)
     column = pa.array(texts, pa.string())
-    train = ~third
-    lexicon = Lexicon.fit(column.filter(pa.array(train)), labels[train])
-    x = features(column, lexicon)
-    trees = Trees.fit(x[train], labels[train], np.ones(int(train.sum())))
-    held = third if third.any() else train
-    seen = labels[held].mean()
-    weight = np.where(labels[held] == 1, share / seen, (1 - share) / (1 - seen))
-    knots, values = isotonic(trees.raw(x[held]), labels[held], weight)
-    return Model(lexicon, trees, knots, values)
+    parts = [np.flatnonzero(part == i) for i in range(FOLDS)]
+    if any(not 0 < labels[np.setdiff1d(np.arange(len(labels)), own)].sum() < len(labels) - len(own) for own in parts):
+        parts = [np.arange(len(labels))]
+    # A document's own words must not speak for it: its features come from a lexicon of the others.
+    x = None
+    for own in parts:
+        others = np.setdiff1d(np.arange(len(labels)), own) if len(parts) > 1 else own
+        lexicon = Lexicon.fit(column.take(pa.array(others)), labels[others])
+        found = features(column.take(pa.array(own)), lexicon)
+        x = np.zeros((len(labels), found.shape[1])) if x is None else x
+        x[own] = found
+    raw = np.zeros(len(labels))
+    for own in parts:
+        others = np.setdiff1d(np.arange(len(labels)), own) if len(parts) > 1 else own
+        raw[own] = Trees.fit(x[others], labels[others], np.ones(len(others))).raw(x[own])
+    seen = labels.mean()
+    weight = np.where(labels == 1, share / seen, (1 - share) / (1 - seen))
+    knots, values = isotonic(raw, labels, weight)
+    return Model(Lexicon.fit(column, labels), Trees.fit(x, labels, np.ones(len(labels))), knots, values)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic", sample: int = SAMPLE) -> Model:
     """Fit on the labelled documents that are `usable`; rows with a null or other label than 0, 1 are left out."""
     rows, share = labelled_sample(docs, labels, usable, label, sample)
-    third = np.array([row.turn % 3 == 0 for row in rows], bool)
-    return fit([row.text.decode() for row in rows], np.array([row.label for row in rows], float), share, third)
+    part = np.array([row.turn % FOLDS for row in rows], int)
+    return fit([row.text.decode() for row in rows], np.array([row.label for row in rows], float), share, part)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
