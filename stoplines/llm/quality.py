@@ -172,6 +172,10 @@ class Network:
             np.add.at(total, owner, chunk)
             np.add.at(count, owner, 1)
             parts.append((flat, values, owner, chunk, where[block, columns]))
+        ties = np.zeros_like(top)
+        for _, _, owner, chunk, _ in parts:
+            np.add.at(ties, owner, chunk >= top[owner])
+        ties = np.maximum(ties, 1)
         features = np.concatenate((top, total / count[:, None]), 1)
         inner = np.maximum(features @ p["inner"] + p["inner0"], 0)
         error = (1 / (1 + np.exp(-(inner @ p["outer"] + p["outer0"][0]))) - labels).astype(np.float32) / len(labels)
@@ -180,7 +184,9 @@ class Network:
         back = back @ p["inner"].T
         g["filters"], g["offset"], g["vectors"] = np.zeros_like(p["filters"]), np.zeros_like(p["offset"]), np.zeros_like(p["vectors"])
         for flat, values, owner, chunk, where in parts:
-            slope = back[owner, FILTERS:] / count[owner, None] + back[owner, :FILTERS] * (chunk >= top[owner])
+            # Overlapping chunks often share their greatest response; they share its slope too.
+            best = chunk >= top[owner]
+            slope = back[owner, FILTERS:] / count[owner, None] + back[owner, :FILTERS] * best / ties[owner]
             slope *= chunk > 0
             g["offset"] += slope.sum(0)
             # Vectors of the bytes under each filter's best place.
