@@ -39,9 +39,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_chars, pieces, and whether the pieces decode to the text."""
-    both = subword.decode(subword.encode(docs))
-    exact = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
-    return both.select("doc_id", "lang", "source", "n_chars", "pieces", exact.alias("exact"))
+    return subword.encode(docs, check=True).select("doc_id", "lang", "source", "n_chars", "pieces", "exact")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

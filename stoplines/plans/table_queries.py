@@ -268,7 +268,7 @@ def station_graph(t: Tables) -> DataFrame:
 def shortest_path(t: Tables) -> DataFrame:
     """From the part with the smallest number to the one with the largest."""
     ends = t.lineitem.agg(F.min("l_partkey").alias("low"), F.max("l_partkey").alias("high")).first()
-    found = graph.shortest_path(station_graph(t), ends["low"], ends["high"])
+    found = graph.shortest_path(station_graph(t), ends["low"], ends["high"], both_ways=True)
     return found.select("hops", F.array_join("path", " -> ").alias("path"))
 
 
