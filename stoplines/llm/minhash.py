@@ -7,11 +7,12 @@ order, as long as it is the same for all. So each class posts itself under these
 that many documents share are skipped where rarer ones suffice. Collisions are counted on the
 signatures, and candidates are confirmed on the full sets.
 
-At a similarity of 0.85, fewer than 14 of 32 coordinates agree with a probability of 1e-8.
+At a similarity of 0.85, fewer than 9 of 24 coordinates agree with a probability of 1e-8; at 0.8, of
+1e-6.
 
 Only components are wanted, not all pairs. Two rounds compare the classes of each posting list with
 one of them, a different one in each round; after that, only classes that are still in different
-components are compared, block by block.
+components are compared: short lists by a join, long ones block by block.
 """
 
 from __future__ import annotations
@@ -30,11 +31,11 @@ from stoplines.storage import materialize
 
 SHINGLE = 5
 SIMILARITY = 80  # percent
-COORDINATES = 32
-MATCHES = 14
+COORDINATES = 24
+MATCHES = 9
 ROUNDS = 2
-SHORT = 8
-BLOCK = 512  # classes of one posting list compared at a time
+SHORT = 8  # classes of a posting list that is joined with itself
+BLOCK = 512  # classes of a longer one that are compared at a time
 LAST = np.iinfo(np.int64).max
 
 
@@ -114,50 +115,80 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return arrow_map(pairs.join(one, "a").join(two, "b"), compare, "a binary, b binary", None)
 
 
-def _cross_pairs(posts: DataFrame, matches: int, block: int) -> DataFrame:
-    """Pairs of classes of different components in one list, with enough equal coordinates.
+def _mixed(posts: DataFrame) -> DataFrame:
+    """The lists that hold classes of more than one component, with their lengths n."""
+    mixed = posts.groupBy("value").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return materialize(posts.join(mixed.where("low <> high").select("value", "n"), "value"), "mixed")
+
+
+def _short_pairs(mixed: DataFrame, matches: int, short: int) -> DataFrame:
+    """Pairs of classes of different components in one list of at most `short`, with enough equal coordinates."""
+    lists = mixed.where(F.col("n") <= short)
+    one = lists.select("value", F.col("cls").alias("a"), F.col("signature").alias("sign_a"), F.col("component").alias("of_a"))
+    two = lists.select("value", F.col("cls").alias("b"), F.col("signature").alias("sign_b"), F.col("component").alias("of_b"))
+    near = one.join(two, "value").where("a < b AND of_a <> of_b")
+    return near.where(F.size(F.array_intersect("sign_a", "sign_b")) >= matches).select("a", "b").distinct()
+
+
+def _long_links(mixed: DataFrame, sets: DataFrame, matches: int, similarity: int, short: int, block: int) -> DataFrame:
+    """Links that join components within longer lists, compared on full sets block by block.
 
-    Lists of up to SHORT classes are joined with themselves; longer ones are compared in blocks.
+    A group gives a spanning forest of its links, never all pairs. Two classes that share several
+    long lists are compared in the first of them.
     """
-    mixed = posts.groupBy("value").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    listed = materialize(posts.join(mixed.where("low <> high").select("value", "n"), "value"), "mixed")
-    short = listed.where(F.col("n") <= SHORT)
-    one = short.select("value", F.col("cls").alias("a"), F.col("signature").alias("sign_a"), F.col("component").alias("of_a"))
-    two = short.select("value", F.col("cls").alias("b"), F.col("signature").alias("sign_b"), F.col("component").alias("of_b"))
-    near = (
-        one.join(two, "value").where("a < b AND of_a <> of_b")
-        .where(F.size(F.array_intersect("sign_a", "sign_b")) >= matches).select("a", "b")
-    )
-    rows = listed.where(F.col("n") > SHORT).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    lists = mixed.where(F.col("n") > short)
+    longs = lists.groupBy("cls").agg(F.sort_array(F.collect_set("value")).alias("values"))
+    rows = lists.join(longs, "cls").join(sets, "cls").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    columns = ["value", "low", "high", "cls", "own", "component", "signature", "values", "members"]
+    return rows.select(columns).groupBy("value", "low", "high").applyInPandas(
+        lambda group: _forest(group, matches, similarity), "a binary, b binary"
+    )
+
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("cls", ignore_index=True)
-        signatures = np.stack(group["signature"].to_numpy())
-        component = np.unique(group["component"], return_inverse=True)[1]
-        own = group["own"].to_numpy()
-        across = group["low"].iloc[0] != group["high"].iloc[0]
-        one, two = [], []
-        for i in range(len(group) - 1):
-            equal = (signatures[i + 1 :] == signatures[i]).sum(1) >= matches
-            equal &= component[i + 1 :] != component[i]
-            if across:
-                equal &= own[i + 1 :] != own[i]
-            at = np.flatnonzero(equal) + i + 1
-            one += [i] * len(at)
-            two += at.tolist()
-        names = group["cls"].to_numpy()
-        return pd.DataFrame({"a": names[one], "b": names[two]})
-
-    far = rows.groupBy("value", "low", "high").applyInPandas(compare, "a binary, b binary")
-    return near.union(far).distinct()
+def _forest(group: pd.DataFrame, matches: int, similarity: int) -> pd.DataFrame:
+    group = group.sort_values("cls", ignore_index=True)
+    signatures = np.stack(group["signature"].to_numpy())
+    component = np.unique(group["component"], return_inverse=True)[1]
+    own = group["own"].to_numpy()
+    across = group["low"].iloc[0] != group["high"].iloc[0]
+    # Classes that share an earlier list are compared there.
+    value = group["value"].iloc[0]
+    earlier = [x[x < value] for x in group["values"]]
+    number = np.unique(np.concatenate(earlier), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(group)), [len(x) for x in earlier])
+    holds = np.zeros((len(group), number.max(initial=-1) + 1), np.float32)
+    holds[owner, number] = 1
+    members = [np.frombuffer(x, np.uint64) for x in group["members"]]
+    size = np.array([len(x) for x in members])
+    one, two = [], []
+    for i in range(len(group) - 1):
+        rest = slice(i + 1, None)
+        near = (component[rest] != component[i]) & ((signatures[rest] == signatures[i]).sum(1) >= matches)
+        if across:
+            near &= own[rest] != own[i]
+        if near.any() and holds.shape[1]:
+            near &= holds[rest] @ holds[i] == 0
+        at = np.flatnonzero(near) + i + 1
+        if not len(at):
+            continue
+        flat = np.concatenate([members[j] for j in at])
+        place = np.minimum(np.searchsorted(members[i], flat), size[i] - 1)
+        both = np.add.reduceat((members[i][place] == flat).astype(np.int64), np.cumsum(size[at]) - size[at])
+        for j in at[100 * both >= similarity * (size[at] + size[i] - both)]:
+            if component[j] != component[i]:
+                one.append(i)
+                two.append(j)
+                component[component == component[j]] = component[i]
+    names = group["cls"].to_numpy()
+    return pd.DataFrame({"a": names[one], "b": names[two]})
 
 
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY,
-    coordinates: int = COORDINATES, matches: int = MATCHES, rounds: int = ROUNDS, block: int = BLOCK,
+    coordinates: int = COORDINATES, matches: int = MATCHES, rounds: int = ROUNDS, short: int = SHORT, block: int = BLOCK,
 ) -> DataFrame:
     """doc_id, k, n_shingles, component_id, one row per document; k is a hash of the text.
 
@@ -209,9 +240,11 @@ def near_duplicates(
                 .where(F.size(F.array_intersect("signature", "head.signature")) >= matches)
                 .select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b")).distinct()
             )
+            more = materialize(_confirmed(pairs, sets, similarity), "links")
         else:
-            pairs = _cross_pairs(own, matches, block)
-        more = materialize(_confirmed(pairs, sets, similarity), "links")
+            mixed = _mixed(own)
+            more = _confirmed(_short_pairs(mixed, matches, short), sets, similarity)
+            more = materialize(more.union(_long_links(mixed, sets, matches, similarity, short, block)), "links")
         links = more if links is None else links.union(more)
         labels = components(links)
     named = classes.select("cls", F.coalesce("row.doc_id", F.lit(LAST)).alias("id")).join(

@@ -99,7 +99,7 @@ def test_minhash(spark, size, similarity, rounds, block):
     for i, r in root.items():
         least[r] = min(least[r], rows[i][0])
     expected = Counter((rows[i][0], len(sets[i]), least[root[i]]) for i in range(len(rows)))
-    found = minhash.near_duplicates(frame(spark, rows), size, similarity, rounds=rounds, block=block, matches=10)
+    found = minhash.near_duplicates(frame(spark, rows), size, similarity, rounds=rounds, short=2, block=block)
     assert as_rows(found, "doc_id", "n_shingles", "component_id") == expected
 
 
