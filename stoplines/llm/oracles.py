@@ -23,6 +23,55 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# Vectors linked within their label, and what each reaches.
+OP2 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e) AND isfinite(list_sum(e)) AND list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS r FROM v UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.r = links.a),
+component AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN component USING (vec_id) LEFT JOIN degree USING (vec_id)
+"""
+
+OP3 = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT p.a, p.b FROM pairs p JOIN sizes x ON p.a = x.doc_id JOIN sizes y ON p.b = y.doc_id WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM doc UNION SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a),
+component AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM doc JOIN component USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+OP5 = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM doc WHERE len(w) >= 13)),
+smallest AS (SELECT g, min(doc_id) AS d FROM windows GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN smallest USING (g) WHERE d < doc_id)),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM doc),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_spherical_cells": OP2,
+    "op3_minhash_near_duplicates": OP3,
+    "op5_super_kmer_repeats": OP5,
     "op7_suffix_array_decontamination": OP7,
 }
