@@ -43,9 +43,7 @@ def op5_super_kmer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_max_plus_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = subword.decode(subword.encode(docs))
-    exact = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
-    return both.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", exact.alias("exact"))
+    return subword.encode(docs, check=True).select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "exact")
 
 
 def op7_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

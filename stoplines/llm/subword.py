@@ -17,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ from stoplines.storage import materialize
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 16
+LETTERS = 1 << 15  # characters in one lattice
+SLICE = 1 << 20  # bytes of text whose words are segmented together
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,10 +57,16 @@ class Encoder:
         unit_sizes = np.diff(np.append(unit, len(points)))
         hashes = H.stretch_hashes(points, unit, unit + unit_sizes)
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        # Each distinct unit once.
+        # Each distinct unit once, a bounded number of characters at a time.
         size = unit_sizes[first]
-        place = np.repeat(unit[first] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        ids, counts, scores = self._distinct(points[place], size)
+        ends, parts, at = np.cumsum(size), [], 0
+        while at < len(first):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] - size[at] + LETTERS, "right")))
+            own = size[at:to]
+            place = np.repeat(unit[first[at:to]] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            parts.append(self._distinct(points[place], own))
+            at = to
+        ids, counts, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
         begin = np.cumsum(counts) - counts
         per_unit = counts[which]
         take = np.repeat(begin[which] - (np.cumsum(per_unit) - per_unit), per_unit) + np.arange(per_unit.sum())
@@ -153,30 +162,38 @@ def states(matrices: list[np.ndarray]) -> list[int]:
     return path[::-1]
 
 
-def encode(docs: DataFrame, path: str = VOCABULARY, chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, path: str = VOCABULARY, chunk: int = CHUNK, check: bool = False) -> DataFrame:
     """`docs` with `pieces`, an array of ids; decode(encode(text)) is the text.
 
+    With `check` also `exact`, whether the pieces decode to the text (an empty one for null).
+
     Spaces become part of pieces, one more stands before the text; characters without a piece become
     byte pieces. Of equally good segmentations one with longer pieces at the end is taken, in long
-    documents chunk by chunk. A null or empty text has no pieces. Rows need no ids; a column named `pieces` is replaced.
+    documents chunk by chunk. A null or empty text has no pieces. Rows need no ids; columns named like
+    the results are replaced.
     """
     vocabulary = Vocabulary.load(path)
-    docs = docs.drop("pieces")
+    results = ["pieces", "exact"] if check else ["pieces"]
+    docs = docs.drop(*results)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"]).alias("row"), "text"
     )
     reach = vocabulary.longest
     schema = f"row {rows.schema['row'].dataType.simpleString()}, text string, pieces array<int>"
+    schema += ", exact boolean" if check else ""
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-        points, sizes = code_points(batch.column("text").fill_null("").to_pylist())
+        texts = batch.column("text").fill_null("")
+        points, sizes = code_points(texts.to_pylist())
         ids, counts, _ = Encoder(shared.value).segment(points, sizes)
         offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
-        return batch.append_column("pieces", pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())))
+        pieces = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
+        batch = batch.append_column("pieces", pieces)
+        return batch.append_column("exact", pc.equal(decoded(pieces, shared.value), texts)) if check else batch
 
     long = F.length("text") > chunk
-    short = arrow_map(rows.where(F.coalesce(~long, F.lit(True))), whole, schema)
+    short = arrow_map(rows.where(F.coalesce(~long, F.lit(True))), whole, schema, limit=SLICE)
 
     giants = materialize(rows.where(long).withColumn("n", F.monotonically_increasing_id()), "giants")
     spread = giants.select("n", "text", F.explode(F.sequence(F.lit(0), F.ceil(F.length("text") / chunk).cast("int") - 1)).alias("part"))
@@ -218,8 +235,10 @@ def encode(docs: DataFrame, path: str = VOCABULARY, chunk: int = CHUNK) -> DataF
     ids = arrow_map(chunks.join(paths, ["n", "part"]), traced, "n long, part int, ids array<int>")
     pieces = ids.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("parts"))
     pieces = pieces.select("n", F.flatten(F.transform("parts", lambda x: x["ids"])).alias("pieces"))
-    long_rows = giants.join(pieces, "n").select("row", "text", "pieces")
-    return short.unionByName(long_rows).select("row.*", "text", "pieces")
+    long_rows = giants.join(pieces, "n")
+    if check:
+        long_rows = decode(long_rows, path).withColumn("exact", F.col("decoded") == F.col("text"))
+    return short.unionByName(long_rows.select("row", "text", *results)).select("row.*", "text", *results)
 
 
 def decoded(pieces: pa.Array, vocabulary: Vocabulary) -> pa.Array:
