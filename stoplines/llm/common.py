@@ -134,7 +134,7 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, usable: Column, label: str, sample: int, most_bytes: int = 1 << 19
+    docs: DataFrame, labels: DataFrame, usable: Column, label: str, sample: int, most_bytes: int = 1 << 16
 ) -> tuple[list, float]:
     """At most `sample` documents of each label 0 and 1, by a hash of the id, and the share of label 1 among all.
 

@@ -6,7 +6,7 @@ kilobyte. The greatest response of each filter in a chunk is kept; the greatest
 all chunks of a document go through one hidden layer to a probability.
 
 The network is fitted on the driver on at most SAMPLE labelled documents of each class, the first by
-a hash of their ids, none longer than half a megabyte; the class shares that set its bias are counted over all training labels.
+a hash of their ids, none longer than 64 kB; the class shares that set its bias are counted over all training labels.
 """
 
 from __future__ import annotations

@@ -3,13 +3,14 @@
 The features are densities of lexicon words and stems, how near they stand to a second person, and
 rates of capitals, punctuation and obfuscation. Lexicon, trees and calibration are fitted on the
 driver, on at most SAMPLE labelled documents of each class, the first by a hash of their ids, none
-longer than half a megabyte. Features for the trees, and scores for the calibration, come from parts
+longer than 64 kB. Features for the trees, and scores for the calibration, come from parts
 of the sample that the document is not in; in the calibration the classes have their share among all
 training labels.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stoplines.llm import hashing as H
-from stoplines.llm.common import arrow_map, labelled_sample, string_buffer
+from stoplines.llm.common import arrow_map, labelled_sample, slices, string_buffer
 
 SAMPLE = 3000
 FOLDS = 3
+PART = 1 << 20  # bytes of text worked on at a time
 STEMS = (4, 5, 6, 7, 8)  # bytes at the start of a word
 HOLDERS = 3  # documents of the sample that an entry of the lexicon needs
 ODDS = 1.5  # and its least log odds, one way or the other
@@ -49,6 +51,14 @@ _UPPER = H.class_table((0x41, 0x5A))
 _DIGITS = H.class_table((0x30, 0x39))
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """The texts a bounded number of bytes at a time, with the place of the first."""
+    batch, at = pa.RecordBatch.from_arrays([texts], names=["text"]), 0
+    for part in slices(batch, "text", PART):
+        yield at, part.column("text")
+        at += part.num_rows
+
+
 def _keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     """Hashes of the words and of their stems; a word shorter than a stem has none (0)."""
     out = [H.stretch_hashes(raw, starts, ends)]
@@ -74,15 +84,25 @@ class Lexicon:
     @classmethod
     def fit(cls, texts: pa.Array, labels: np.ndarray) -> Lexicon:
         """Log odds of every word and stem that enough documents hold, one count per document."""
-        raw, offsets = string_buffer(texts)
-        raw = H.lower_ascii(raw)
-        starts, ends, places = H.words(raw, offsets, H.LETTERS)
-        doc = np.repeat(np.arange(len(labels)), np.diff(places))
-        pairs = np.concatenate([np.stack((keys, doc.astype(np.uint64)), 1)[keys > 0] for keys in _keys(raw, starts, ends)])
-        pairs = np.unique(pairs, axis=0)
-        keys, which = np.unique(pairs[:, 0], return_inverse=True)
-        bad = np.bincount(which, labels[pairs[:, 1].astype(np.int64)], len(keys))
-        all_ = np.bincount(which, minlength=len(keys))
+        found: list[list[np.ndarray]] = [[] for _ in range(1 + len(STEMS))]
+        whose: list[list[np.ndarray]] = [[] for _ in found]
+        for first, part in _parts(texts):
+            raw, offsets = string_buffer(part)
+            raw = H.lower_ascii(raw)
+            starts, ends, places = H.words(raw, offsets, H.LETTERS)
+            for kind, keys in enumerate(_keys(raw, starts, ends)):
+                for doc, (low, high) in enumerate(zip(places[:-1].tolist(), places[1:].tolist(), strict=True)):
+                    own = np.unique(keys[low:high])
+                    found[kind].append(own[own > 0])
+                    whose[kind].append(np.full(len(found[kind][-1]), labels[first + doc], np.int8))
+        # The hashes of words and of each stem are apart, so that each kind is counted by itself.
+        counts = []
+        for own, of in zip(found, whose, strict=True):
+            keys, which = np.unique(np.concatenate(own), return_inverse=True) if own else (np.empty(0, np.uint64), np.empty(0, int))
+            counts.append((keys, np.bincount(which, np.concatenate(of) if of else None, len(keys)), np.bincount(which, minlength=len(keys))))
+        keys, bad, all_ = (np.concatenate(x) for x in zip(*counts, strict=True))
+        order = np.argsort(keys)
+        keys, bad, all_ = keys[order], bad[order], all_[order]
         n_bad, n = labels.sum(), len(labels)
         odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((all_ - bad + 0.5) / (n - n_bad + 1))
         keep = (all_ >= HOLDERS) & (np.abs(odds) >= ODDS)
@@ -250,7 +270,7 @@ def fit(texts: list[str], labels: np.ndarray, share: float, part: np.ndarray) ->
     for own in parts:
         others = np.setdiff1d(np.arange(len(labels)), own) if len(parts) > 1 else own
         lexicon = Lexicon.fit(column.take(pa.array(others)), labels[others])
-        found = features(column.take(pa.array(own)), lexicon)
+        found = np.concatenate([features(part, lexicon) for _, part in _parts(column.take(pa.array(own)))])
         x = np.zeros((len(labels), found.shape[1])) if x is None else x
         x[own] = found
     raw = np.zeros(len(labels))
@@ -285,4 +305,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     frame = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), "text")
     schema = f"row {frame.schema['row'].dataType.simpleString()}, score double"
-    return arrow_map(frame, run, schema).select("row.*", "score")
+    return arrow_map(frame, run, schema, limit=PART).select("row.*", "score")
