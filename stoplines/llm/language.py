@@ -6,9 +6,9 @@ pieces' probabilities start from the vocabulary's scores and are re-estimated by
 maximisation over the distinct words of all training documents. Only the weights are fitted, the
 pieces stay.
 
-Texts are of several kinds (languages, say): a mixture that is fitted on a bounded sample of training
-texts, and whose weights and word counts then come from all of them. A text's probability is the sum
-over the kinds. A word of the training texts has one more way through its lattice, the word as a whole,
+Texts are of several kinds (languages, say): a mixture over the most frequent words, fitted by
+expectation maximisation on all training texts, each of which is counted once for those words; a round
+is one aggregation. A text's probability is the sum over the kinds. A word of the training texts has one more way through its lattice, the word as a whole,
 by its count less a discount in texts of the kind and then of all kinds; what the discounts leave is
 the weight of the piecewise ways.
 
@@ -19,7 +19,7 @@ their scores in a join, counted per document before.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from stoplines.llm import hashing as H
 from stoplines.llm.common import arrow_map, string_buffer
-from stoplines.llm.embeddings import spherical_kmeans
 from stoplines.llm.lattice import LITERAL, SPACE, Lattice, Vocabulary
 from stoplines.storage import materialize
 
@@ -40,9 +39,10 @@ ROUNDS = 4
 KINDS = 6
 KIND_WORDS = 2048
 KIND_COMMON = 200
-KIND_SAMPLE = 4000  # training texts, of at most KIND_BYTES, that kinds are found on
-KIND_BYTES = 1 << 15
-KIND_STARTS = 40_000  # words of the sample that the pieces' weights start from
+KIND_TRIES = 8
+KIND_STEPS = 10  # of the spherical k-means that the kinds start from
+KIND_ROUNDS = 20
+KIND_ROWS = 1024  # texts in one dense table
 END = b" "
 WORDS = 20_000  # words in one lattice
 LETTERS = 1 << 18  # and letters
@@ -96,58 +96,172 @@ def _spelled(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.array([text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())
 
 
+def _frequent(texts: DataFrame, most: int) -> np.ndarray:
+    """Hashes of the most frequent words of all texts, most frequent first."""
+
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words, n = np.unique(_tokens_of(batch.column("text"))[4], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "n"])
+
+    counts = arrow_map(texts, counted, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return counts.orderBy(F.desc("n"), "hash").limit(most).select("hash").toArrow().column("hash").to_numpy().view(np.uint64)
+
+
+def _columns(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes among the sorted words, len(words) for other words."""
+    if not len(words):
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
+    return np.where(words[at] == hashes, at, len(words))
+
+
+def _vectors(batch: pa.RecordBatch, words: np.ndarray) -> pa.RecordBatch:
+    """The texts of the batch as one row: how many columns each has, the columns and their counts, compressed."""
+    n, width = batch.num_rows, len(words) + 1
+    _, _, _, doc, hashes = _tokens_of(batch.column("text"))
+    key, count = np.unique(doc * width + _columns(words, hashes), return_counts=True)
+    lengths = np.bincount(key // width, minlength=n).astype("<u2")
+    parts = [lengths, (key % width).astype("<u2"), count.astype("<u4")]
+    codec = pa.Codec("zstd", compression_level=3)
+    blobs = [pa.array([codec.compress(part.tobytes(), asbytes=True)], pa.binary()) for part in parts]
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([len(key)], pa.int32()), *blobs], names=["texts", "cells", "lengths", "columns", "counts"])
+
+
+def _tables(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    """[texts, width]: word counts of at most KIND_ROWS texts at a time."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        for n, cells, *blobs in zip(*(batch.column(name).to_pylist() for name in ("texts", "cells", "lengths", "columns", "counts")), strict=True):
+            lengths, columns, counts = (
+                np.frombuffer(codec.decompress(blob, size * int(kind[-1]), asbytes=True), kind)
+                for blob, size, kind in zip(blobs, (n, cells, cells), ("<u2", "<u2", "<u4"), strict=True)
+            )
+            edges = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+            for at in range(0, n, KIND_ROWS):
+                to = min(at + KIND_ROWS, n)
+                some = slice(edges[at], edges[to])
+                table = np.zeros((to - at, width), np.float32)
+                table[np.repeat(np.arange(to - at), lengths[at:to]), columns[some]] = counts[some]
+                yield table
+
+
+def _units(table: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors over the most common words, and which texts have enough of them."""
+    unit = np.sqrt(table[:, common])
+    full = (unit**2).sum(1) >= KIND_COMMON / 10
+    return unit / np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9), full
+
+
+def _shares(each: np.ndarray) -> np.ndarray:
+    part = np.exp(each - each.max(1, keepdims=True))
+    return part / part.sum(1, keepdims=True)
+
+
+def _totals(vectors: DataFrame, width: int, size: int, add: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over all texts of what `add` gives for a table of them, an array of `size`."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(size)
+        for table in _tables(batches, width):
+            sums += add(table)
+        cell = np.flatnonzero(sums)
+        if len(cell):
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(sums[cell])], names=["cell", "mass"])
+
+    rows = vectors.mapInArrow(summed, "cell int, mass double").groupBy("cell").agg(F.sum("mass").alias("mass")).toArrow()
+    out = np.zeros(size)
+    out[rows.column("cell").to_numpy()] = rows.column("mass").to_numpy()
+    return out
+
+
+def _first_centres(vectors: DataFrame, width: int, common: np.ndarray, kinds: int, seed: int) -> tuple[np.ndarray, bool]:
+    """[tries, kinds, common]: texts to start from, by a hash of their counts, and whether only texts with enough common words count."""
+    most = kinds * KIND_TRIES
+    factors = H.mix(np.arange(1, len(common) + 1, dtype=np.uint64)) | np.uint64(1)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[bool, dict[int, bytes]] = {True: {}, False: {}}
+        for table in _tables(batches, width):
+            unit, full = _units(table, common)
+            turn = H.mix((table[:, common].astype(np.uint64) * factors).sum(1, dtype=np.uint64)).view(np.int64)
+            for value, own in best.items():
+                at = np.flatnonzero(full == value)
+                at = at[np.unique(turn[at], return_index=True)[1][:most]]
+                own.update((int(turn[i]), unit[i].tobytes()) for i in at)
+                best[value] = dict(sorted(own.items())[:most])
+        rows = [(value, turn, unit) for value, own in best.items() for turn, unit in own.items()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["full", "turn", "unit"])
+
+    rows = vectors.mapInArrow(first, "full boolean, turn long, unit binary").dropDuplicates(["full", "turn"])
+    found = {value: rows.where(F.col("full") == value).orderBy("turn").limit(most).collect() for value in (True, False)}
+    full = len(found[True]) >= kinds
+    use = found[True] if full else found[True] + found[False]
+    units = np.stack([np.frombuffer(row.unit, np.float32) for row in use])
+    rng = np.random.default_rng(seed)
+    if len(units) >= most:
+        return units[rng.permutation(len(units))[:most]].reshape(KIND_TRIES, kinds, -1), full
+    return np.stack([units[rng.choice(len(units), min(kinds, len(units)), replace=False)] for _ in range(KIND_TRIES)]), full
+
+
 @dataclass
 class Kinds:
-    """A mixture of word distributions over the most frequent words of a sample: the kind of each text."""
+    """A mixture of word distributions over the most frequent words of the training texts: the kind of each text."""
 
     words: np.ndarray  # hashes, sorted
     logs: np.ndarray  # [kinds, words + 1], other words last
     prior: np.ndarray
 
     def of(self, doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.words, hashes), max(0, len(self.words) - 1))
-        at = np.where(self.words[at] == hashes, at, len(self.words)) if len(self.words) else np.zeros(len(hashes), int)
+        at = _columns(self.words, hashes)
         return np.stack([prior + np.bincount(doc, logs[at], n) for prior, logs in zip(self.prior, self.logs, strict=True)]).argmax(0)
 
-    def words_of(self, texts: pa.Array, most: int = KIND_STARTS) -> list[list[bytes]]:
-        """Distinct words of the texts of each kind, at most `most` of all kinds, by their hashes."""
-        raw, starts, ends, doc, hashes = _tokens_of(texts)
-        kind = self.of(doc, hashes, len(texts))[doc]
-        _, first = np.unique(hashes + kind.astype(np.uint64), return_index=True)
-        first = first[:most]
-        words = _spelled(raw, starts[first], ends[first]).to_pylist()
-        return [[word for word, k in zip(words, kind[first], strict=True) if k == i] for i in range(len(self.prior))]
-
     @classmethod
-    def fit(cls, texts: pa.Array, kinds: int, steps: int = 20, seed: int = 1) -> Kinds:
-        """By expectation maximisation."""
-        _, _, _, doc, hashes = _tokens_of(texts)
-        n = len(texts)
-        words, which, count = np.unique(hashes, return_inverse=True, return_counts=True)
-        top = np.sort(np.argsort(-count, kind="stable")[:KIND_WORDS])
-        column = np.full(len(words) + 1, len(top))
-        column[top] = np.arange(len(top))
-        table = np.zeros((n, len(top) + 1), np.float32)
-        np.add.at(table, (doc, column[which]), 1)
-        if not n or not len(top):
-            return cls(words[top], np.zeros((1, len(top) + 1)), np.zeros(1))
+    def fit(cls, texts: DataFrame, kinds: int, rounds: int = KIND_ROUNDS, seed: int = 1) -> Kinds:
+        """By expectation maximisation over all texts, one aggregation a round; only word distributions reach the driver."""
+        frequent = _frequent(texts, KIND_WORDS)
+        words, width = np.sort(frequent), len(frequent) + 1
+        if not len(words):
+            return cls(words, np.zeros((1, 1)), np.zeros(1))
+        common = np.sort(np.searchsorted(words, frequent[:KIND_COMMON]))
+        vectors = materialize(
+            arrow_map(texts, lambda batch: _vectors(batch, words), "texts int, cells int, lengths binary, columns binary, counts binary"),
+            "vectors",
+        )
         # Starts: the best of some spherical k-means over the most common of these words, where a text has enough of them.
-        common = np.sort(np.argsort(-table[:, :-1].sum(0), kind="stable")[:KIND_COMMON])
-        unit = np.sqrt(table[:, common])
-        full = (unit**2).sum(1) >= KIND_COMMON / 10
-        unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)
-        use = unit[full] if full.sum() >= kinds else unit
-        centres = max((spherical_kmeans(use, kinds, seed + i) for i in range(8)), key=lambda c: float((use @ c.T).max(1).sum()))
-        part = np.exp(30 * (unit @ centres.T))
-        part /= part.sum(1, keepdims=True)
-        for _ in range(steps):
-            prior = (part.sum(0) + 1) / (n + part.shape[1])
-            mass = part.T @ table + 0.1
-            logs = np.log(mass / mass.sum(1, keepdims=True))
-            each = np.log(prior) + table @ logs.T
-            part = np.exp(each - each.max(1, keepdims=True))
-            part /= part.sum(1, keepdims=True)
-        return cls(words[top], logs, np.log(prior))
+        centres, only = _first_centres(vectors, width, common, kinds, seed)
+        tries, k, m = centres.shape
+
+        def nearest(table: np.ndarray) -> np.ndarray:
+            unit, full = _units(table, common)
+            unit = unit[full] if only else unit
+            near = (unit @ centres.reshape(-1, m).T).reshape(-1, tries, k)
+            own = (near.argmax(2)[:, :, None] == np.arange(k)).reshape(-1, tries * k).astype(np.float32)
+            return np.concatenate((near.max(2).sum(0), (own.T @ unit).ravel()))
+
+        for step in range(KIND_STEPS + 1):
+            sums = _totals(vectors, width, tries + tries * k * m, nearest)
+            best = int(sums[:tries].argmax())
+            sums = sums[tries:].reshape(centres.shape)
+            size = np.linalg.norm(sums, axis=2, keepdims=True)
+            moved = np.where(size > 1e-12, sums / np.maximum(size, 1e-12), centres).astype(np.float32)
+            if step == KIND_STEPS or np.allclose(moved, centres, rtol=0, atol=1e-6):
+                break
+            centres = moved
+        chosen = centres[best]
+        logs = prior = None
+
+        def expected(table: np.ndarray) -> np.ndarray:
+            each = 30 * (_units(table, common)[0] @ chosen.T) if logs is None else prior + table @ logs.T
+            part = _shares(each.astype(np.float64))
+            return np.concatenate((part.sum(0), (part.T.astype(np.float32) @ table).ravel()))
+
+        for _ in range(rounds):
+            sums = _totals(vectors, width, k + k * width, expected)
+            prior = np.log((sums[:k] + 1) / (sums[:k].sum() + k))
+            mass = sums[k:].reshape(k, width) + 0.1
+            logs = np.log(mass / mass.sum(1, keepdims=True)).astype(np.float32)
+        return cls(words, logs.astype(np.float64), prior)
 
 
 def _counted(batch: pa.RecordBatch, kinds: Kinds) -> pa.RecordBatch:
@@ -183,40 +297,37 @@ def _expected(words: list[bytes], vocabulary: Vocabulary, weights: np.ndarray) -
     return uses
 
 
-def fit(counts: DataFrame, vocabulary: Vocabulary, starts: list[list[bytes]], rounds: int = ROUNDS) -> np.ndarray:
+def fit(counts: DataFrame, vocabulary: Vocabulary, kinds: int, rounds: int = ROUNDS) -> np.ndarray:
     """[kinds, pieces + 1]: log probabilities of the pieces and the fallback, from each distinct training word of a kind once.
 
-    `rounds` rounds go over the words `starts` of each kind, the last one over all words of all
-    training texts.
+    Each of `rounds` + 1 rounds goes over all words of all training texts.
     """
     sc = counts.sparkSession.sparkContext
-    weights = []
-    for words in starts:
-        own = _start(vocabulary)
-        for _ in range(rounds if words else 0):
-            uses = _expected(words, vocabulary, own) + SMOOTHING / 10
-            own = np.log(uses / uses.sum())
-        weights.append(own)
-    shared, now = sc.broadcast(vocabulary), sc.broadcast(weights)
-
-    def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uses = np.zeros((len(starts), len(now.value[0])))
-        for batch in batches:
-            for kind, own in enumerate(now.value):
-                here = batch.column("word").filter(pc.greater(batch.column(f"n{kind}"), 0))
-                uses[kind] += _expected(here.to_pylist(), shared.value, own)
-        kind, piece = np.nonzero(uses)
-        if len(kind):
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(piece, pa.int32()), pa.array(uses[kind, piece])], names=["kind", "piece", "uses"])
-
-    # One row for each piece and kind: bounded by the vocabulary.
-    rows = (
-        counts.where("n > 0").mapInArrow(expected, "kind int, piece int, uses double")
-        .groupBy("kind", "piece").agg(F.sum("uses").alias("uses")).toArrow()
-    )
-    uses = np.full((len(starts), len(weights[0])), SMOOTHING / 10)
-    uses[rows.column("kind").to_numpy(), rows.column("piece").to_numpy()] += rows.column("uses").to_numpy()
-    return np.log(uses / uses.sum(1, keepdims=True))
+    shared = sc.broadcast(vocabulary)
+    weights = np.tile(_start(vocabulary), (kinds, 1))
+    for _ in range(rounds + 1):
+        now = sc.broadcast(weights)
+
+        def expected(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            uses = np.zeros(now.value.shape)
+            for batch in batches:
+                for kind, own in enumerate(now.value):
+                    here = batch.column("word").filter(pc.greater(batch.column(f"n{kind}"), 0))
+                    uses[kind] += _expected(here.to_pylist(), shared.value, own)
+            kind, piece = np.nonzero(uses)
+            if len(kind):
+                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(piece, pa.int32()), pa.array(uses[kind, piece])], names=["kind", "piece", "uses"])
+
+        # One row for each piece and kind: bounded by the vocabulary.
+        rows = (
+            counts.where("n > 0").mapInArrow(expected, "kind int, piece int, uses double")
+            .groupBy("kind", "piece").agg(F.sum("uses").alias("uses")).toArrow()
+        )
+        uses = np.full(weights.shape, SMOOTHING / 10)
+        uses[rows.column("kind").to_numpy(), rows.column("piece").to_numpy()] += rows.column("uses").to_numpy()
+        weights = np.log(uses / uses.sum(1, keepdims=True))
+        now.destroy()
+    return weights
 
 
 def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int = ROUNDS, n_kinds: int = KINDS) -> DataFrame:
@@ -233,11 +344,7 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"), "text",
         F.coalesce(train, F.lit(False)).alias("train"),
     )
-    some = rows.where("train").where(F.octet_length("text") <= KIND_BYTES).select("id", "k").distinct()
-    some = some.orderBy(F.xxhash64("id", "k"), "id", "k").limit(KIND_SAMPLE)
-    sample = rows.join(F.broadcast(some), ["id", "k"]).dropDuplicates(["id", "k"]).orderBy("id", "k")
-    sample = sample.select("text").toArrow().column("text").combine_chunks()
-    kinds = Kinds.fit(sample, n_kinds)
+    kinds = Kinds.fit(rows.where("train").select("text"), n_kinds)
     range_ = range(len(kinds.prior))
     every = sum(F.col(f"n{i}") for i in range_)
     counts = materialize(word_counts(rows, F.col("train"), kinds).withColumn("n", every), "words")
@@ -249,7 +356,7 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         F.sum(F.when(is_end, F.col("n"))).alias("texts"), *[F.sum(F.when(is_end, F.col(f"n{i}"))).alias(f"texts{i}") for i in range_],
     ).first()
     total, distinct, texts = sums.n or 0, sums.v or 0, sums.texts or 0
-    weights = fit(counts.where(~is_end), vocabulary, kinds.words_of(sample), rounds)
+    weights = fit(counts.where(~is_end), vocabulary, len(kinds.prior), rounds)
     discount = sums.once / (sums.once + 2 * sums.twice) if sums.once and sums.twice else 0.5
     tokens = np.array([sums[f"n{i}"] or 0 for i in range_]) + SMOOTHING
     spare = (discount * np.array([sums[f"v{i}"] or 0 for i in range_]) + SMOOTHING) / tokens

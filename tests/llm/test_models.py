@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stoplines.llm import language, quality, toxicity
+from stoplines.llm import hashing as H
 from stoplines.llm.common import string_buffer
 from stoplines.llm.lattice import Lattice, Vocabulary
 from stoplines.llm.queries import QUERIES
@@ -164,3 +165,16 @@ def test_language_of_no_documents(spark):
     assert language.score(frame(spark, []), F.lit(True)).count() == 0
     only = language.score(frame(spark), F.lit(False)).collect()
     assert len(only) == len(documents()) and all(r.train_tokens == 0 for r in only)
+
+
+def test_kinds_learn_from_all_training_texts(spark):
+    """Words beyond the first 4,000 texts, and of long texts only, have their part in the mixture."""
+    rows = [(i, f"w{i % 7} w{i % 5}", "en", "s", 1, 0.0, "r") for i in range(4100)]
+    rows += [(5000 + i, "sole " * 7000, "en", "s", 1, 0.0, "r") for i in range(3)]
+    kinds = language.Kinds.fit(spark.createDataFrame(rows, SCHEMA).repartition(3).select("text"), 2)
+    sole = H.stretch_hashes(np.frombuffer(b"sole", np.uint8), np.array([0]), np.array([4]))
+    assert len(kinds.words) == 8 and sole[0] in kinds.words
+    at = int(np.searchsorted(kinds.words, sole[0]))
+    shares = np.exp(kinds.logs[:, at])
+    assert shares.max() > 0.99 and shares.min() < 0.01
+    assert np.exp(kinds.prior).min() == pytest.approx(4 / 4105)
