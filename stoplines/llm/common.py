@@ -31,19 +31,23 @@ def partitions_for(df: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION
     return max(planned, size // bytes_per_partition) if size < 1 << 60 else planned
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text ('' for null) and k1, k2: 128 hash bits of both.
+def text_key(text: str = "text") -> Column:
+    """128 hash bits of a text, as 16 bytes; null has a key of its own.
 
     Rows with the same id and text are the same document and get the same results. A table may
-    hold ids more than once, or null; k1, k2 tell its rows apart where their texts differ.
+    hold ids more than once, or null; the key tells its rows apart where their texts differ.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
-        F.xxhash64(F.col("doc_id").cast("long"), text).alias("k1"),
-        F.xxhash64(text, F.col("doc_id").cast("long"), F.lit(1)).alias("k2"),
-    )
+    return F.coalesce(F.unhex(F.md5(F.col(text).cast("binary"))), F.lit(bytes(16)))
+
+
+def keys_of(column: pa.Array) -> np.ndarray:
+    """[n, 2]: the 16 bytes of each key as two integers."""
+    return np.ascontiguousarray(string_buffer(column)[0]).view("<i8").reshape(-1, 2)
+
+
+def key_array(keys: np.ndarray) -> pa.Array:
+    """The keys as 16 bytes each again."""
+    return binary_array(np.ascontiguousarray(keys, "<i8").view(np.uint8).reshape(-1), np.arange(len(keys) + 1) * 16)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stoplines.llm import hashing as H
-from stoplines.llm.common import arrow_map, string_buffer
+from stoplines.llm.common import arrow_map, string_buffer, text_key
 from stoplines.llm.lattice import LITERAL, SPACE, Lattice, Vocabulary
 from stoplines.storage import materialize
 
@@ -336,12 +336,12 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
     `train` marks the documents to learn from. score is the model's log10 probability of the whole
     text, base_score that of a word unigram model smoothed by 0.1. Words are runs of anything but
     space and the controls 09-0D; the end is a token. Null and empty texts have the end only. k is a
-    hash of the text; null ids stay null; rows with one id and one text are scored alike.
+    hash of 128 bits of the text; null ids stay null; rows with one id and one text are scored alike.
     """
     vocabulary = Vocabulary.load(path)
     sc = docs.sparkSession.sparkContext
     rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"), "text",
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), text_key().alias("k"), "text",
         F.coalesce(train, F.lit(False)).alias("train"),
     )
     kinds = Kinds.fit(rows.where("train").select("text"), n_kinds)
@@ -412,15 +412,15 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         first = np.flatnonzero(cut)
         times = np.diff(np.append(first, len(order)))
         some = order[first]
-        ids, keys = batch.column("id").to_numpy(), batch.column("k").to_numpy()
+        ids, keys = batch.column("id").to_numpy(), batch.column("k")
         # A space begins no word, so that these rows meet no other; each has a key of its own.
-        own = [b" %d %d" % pair for pair in zip(ids.tolist(), keys.tolist(), strict=True)]
+        own = [b" %d %s" % pair for pair in zip(ids.tolist(), keys.to_pylist(), strict=True)]
         word = pa.concat_arrays([pa.array(own, pa.binary()), _spelled(raw, starts[some], ends[some])])
         tokens = np.bincount(doc, minlength=n) + 1
         nothing = pa.nulls(len(some), pa.float64())
         return pa.RecordBatch.from_arrays(
             [
-                word, pa.array(np.concatenate((ids, ids[doc[some]]))), pa.array(np.concatenate((keys, keys[doc[some]]))),
+                word, pa.array(np.concatenate((ids, ids[doc[some]]))), pa.concat_arrays([keys, keys.take(pa.array(doc[some]))]),
                 pa.concat_arrays([batch.column("train"), pa.nulls(len(some), pa.bool_())]),
                 pa.array(np.concatenate((tokens, times))),
                 pa.concat_arrays([pa.array(n_known.astype(float)), nothing]),
@@ -430,7 +430,7 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         )
 
     m_names = [f"m{i}" for i in range_]
-    schema = "word binary, id long, k int, train boolean, times long, known double, base double, "
+    schema = "word binary, id long, k binary, train boolean, times long, known double, base double, "
     parts = arrow_map(rows, summed, schema + ", ".join(f"{name} double" for name in m_names))
     counted = F.coalesce("n", F.lit(0))
     joined = parts.join(words.select("word", "n", *p_names), "word", "left")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stoplines.llm import hashing as H
-from stoplines.llm.common import arrow_map, components, string_buffer
+from stoplines.llm.common import arrow_map, components, string_buffer, text_key
 from stoplines.storage import materialize
 
 SHINGLE = 5
@@ -190,7 +190,7 @@ def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY,
     coordinates: int = COORDINATES, matches: int = MATCHES, rounds: int = ROUNDS, short: int = SHORT, block: int = BLOCK,
 ) -> DataFrame:
-    """doc_id, k, n_shingles, component_id, one row per document; k is a hash of the text.
+    """doc_id, k, n_shingles, component_id, one row per document; k is a hash of 128 bits of the text.
 
     Links documents whose sets have 100 * intersection >= similarity * union; component_id is the
     smallest doc_id reachable over links, the document's own included. A text with fewer words than
@@ -198,11 +198,11 @@ def near_duplicates(
     nothing and keep their own id. A null id counts as the greatest; a component of null ids only
     has a null component_id.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("k"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("k"), "text")
     signed = materialize(
         arrow_map(
             rows, lambda batch: _signed(batch, shingle, coordinates),
-            "doc_id long, k int, cls binary, n_shingles long, signature array<long>",
+            "doc_id long, k binary, cls binary, n_shingles long, signature array<long>",
         ),
         "signatures",
     )
@@ -272,7 +272,7 @@ def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     ).toDF("id", "k", "kept", "full").groupBy("id", "k").agg(F.max("kept").alias("kept"), F.max("full").alias("full"))
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), text_key().alias("k"),
     )
     chosen = rows.join(keep.where("kept or not full").select("id", "k"), ["id", "k"])
     return chosen.dropDuplicates(["id", "k"]).select("row.*")

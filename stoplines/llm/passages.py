@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from stoplines.llm import hashing as H
 from stoplines.llm.blobs import pack, unpack
-from stoplines.llm.common import arrow_map, partitions_for, string_buffer
+from stoplines.llm.common import arrow_map, key_array, keys_of, partitions_for, string_buffer, text_key
 from stoplines.llm.suffix_sort import common_prefixes, suffixes
 from stoplines.storage import materialize
 
@@ -82,7 +82,7 @@ def _strings(batch: pa.RecordBatch, window: int, stretch: int, hot: np.ndarray)
     )
 
 
-MOVED = "bucket int, blob binary, id long, k int, start int, end int"
+MOVED = "bucket int, blob binary, id long, k binary, start int, end int"
 FOUND = ["id", "k", "start", "end"]
 
 
@@ -101,7 +101,7 @@ def _moved(batch: pa.RecordBatch, window: int, buckets: int) -> pa.RecordBatch |
     strings = batch.column("strings").flatten()
     owner = np.repeat(np.arange(batch.num_rows), batch.column("strings").value_lengths().to_numpy())
     start, count, value = (strings.field(name).to_numpy() for name in ("start", "count", "value"))
-    ids, keys = batch.column("id").to_numpy()[owner], batch.column("k").to_numpy()[owner]
+    ids, keys = batch.column("id").to_numpy()[owner], keys_of(batch.column("k"))[owner]
     low = offsets[owner] + start
     size = count.astype(np.int64) + window - 1
     text = raw.tobytes()
@@ -119,16 +119,16 @@ def _moved(batch: pa.RecordBatch, window: int, buckets: int) -> pa.RecordBatch |
     names, blobs = [], []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         some = sent[a:b]
-        arrays = [np.diff(ids[some], prepend=0), keys[some], start[some], size[some], settled[some], np.diff(value[some], prepend=0)]
+        arrays = [np.diff(ids[some], prepend=0), *keys[some].T, start[some], size[some], settled[some], np.diff(value[some], prepend=0)]
         names.append(int(bucket[a]))
         blobs.append(pack(arrays, b"".join([parts[i] for i in some.tolist()])))
     done = np.flatnonzero(settled)
     nothing = [None] * len(blobs)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(names + (keys[done].astype(np.int64) % buckets).tolist(), pa.int32()),
+            pa.array(names + (keys[done, 0] % buckets).tolist(), pa.int32()),
             pa.array(blobs + [None] * len(done), pa.binary()),
-            pa.array(nothing + ids[done].tolist(), pa.int64()), pa.array(nothing + keys[done].tolist(), pa.int32()),
+            pa.array(nothing + ids[done].tolist(), pa.int64()), pa.concat_arrays([pa.nulls(len(blobs), pa.binary()), key_array(keys[done])]),
             pa.array(nothing + start[done].tolist(), pa.int32()), pa.array(nothing + (start[done] + size[done]).tolist(), pa.int32()),
         ],
         names=["bucket", "blob", "id", "k", "start", "end"],
@@ -162,12 +162,13 @@ def _shard(blobs: list, window: int) -> Iterator[pa.RecordBatch]:
     """Repeated stretches among the strings of one bucket."""
     columns, parts = [], []
     for blob in blobs:
-        arrays, payload = unpack(blob, 6)
-        arrays[0], arrays[5] = np.cumsum(arrays[0]), np.cumsum(arrays[5])
+        arrays, payload = unpack(blob, 7)
+        arrays[0], arrays[6] = np.cumsum(arrays[0]), np.cumsum(arrays[6])
         columns.append(arrays)
-        ends = np.cumsum(arrays[3])
-        parts += [payload[a:b] for a, b in zip((ends - arrays[3]).tolist(), ends.tolist(), strict=True)]
-    ids, keys, start, size, settled, value = (np.concatenate(x) for x in zip(*columns, strict=True))
+        ends = np.cumsum(arrays[4])
+        parts += [payload[a:b] for a, b in zip((ends - arrays[4]).tolist(), ends.tolist(), strict=True)]
+    ids, k1, k2, start, size, settled, value = (np.concatenate(x) for x in zip(*columns, strict=True))
+    keys = np.stack((k1, k2), 1)
     flat = np.frombuffer(b"".join(parts), np.uint8)
     head = _groups(flat, np.concatenate(([0], np.cumsum(size))))
     whole = (np.bincount(head, minlength=len(head))[head] > 1) & (settled == 0)
@@ -197,7 +198,7 @@ def _shard(blobs: list, window: int) -> Iterator[pa.RecordBatch]:
         out.append((ids[string], keys[string], start[string] + low - base, start[string] + high - base + window))
     ids, keys, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(keys, pa.int32()), pa.array(low, pa.int32()), pa.array(high, pa.int32())], names=FOUND
+        [pa.array(ids, pa.int64()), key_array(keys), pa.array(low, pa.int32()), pa.array(high, pa.int32())], names=FOUND
     )
 
 
@@ -219,17 +220,17 @@ def _shards(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"), "text")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), text_key().alias("k"), "text")
 
 
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, stretch: int = STRETCH, hot_share: int = HOT_SHARE) -> DataFrame:
-    """id, k, start, end: byte stretches whose windows occur elsewhere; id is the greatest number for null, k a hash of the text."""
+    """id, k, start, end: byte stretches whose windows occur elsewhere; id is the greatest number for null, k a hash of 128 bits of the text."""
     rows = _identified(docs)
 
     def strings(hot: np.ndarray) -> DataFrame:
         found = arrow_map(
             rows, lambda batch: _strings(batch, window, stretch, hot),
-            "id long, k int, value long, start int, count int, times int",
+            "id long, k binary, value long, start int, count int, times int",
         )
         return materialize(found, "strings")
 
@@ -249,7 +250,7 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, stretch: int = STR
         rows.join(wanted, ["id", "k"]).select("id", "k", "text", "strings"), lambda batch: _moved(batch, window, buckets), MOVED
     )
     dealt = moved.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(lambda batches: _shards(batches, window), "id long, k int, start int, end int")
+    return dealt.mapInArrow(lambda batches: _shards(batches, window), "id long, k binary, start int, end int")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, stretch: int = STRETCH, hot_share: int = HOT_SHARE) -> DataFrame:
@@ -264,7 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, stretch: int = STRETCH
     found = repeated_stretches(docs, window, stretch, hot_share).groupBy("id", "k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"]).alias("row"), "text",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), text_key().alias("k"),
     )
     joined = rows.join(found, ["id", "k"], "left").select(
         "row", "text", F.transform("spans", lambda s: s["start"]).alias("starts"), F.transform("spans", lambda s: s["end"]).alias("ends")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from stoplines.llm import hashing as H
 from stoplines.llm.blobs import pack, unpack
-from stoplines.llm.common import arrow_map, partitions_for, string_buffer
+from stoplines.llm.common import arrow_map, key_array, keys_of, partitions_for, string_buffer, text_key
 
 WINDOW = 13
 STRETCH = 3  # words that a minimiser hashes
@@ -31,8 +31,8 @@ BUCKETS_PER_PARTITION = 4
 LAST = np.iinfo(np.int64).max  # stands for a null id: after all others
 ROUND = 1 << 22  # windows of a bucket sorted at a time
 
-MOVED = "bucket int, blob binary, doc_id long, k int, start int, end int"
-FOUND = "doc_id long, k int, start int, end int"
+MOVED = "bucket int, blob binary, doc_id long, k binary, start int, end int"
+FOUND = "doc_id long, k binary, start int, end int"
 
 
 def _windows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, places: np.ndarray, window: int):
@@ -69,7 +69,7 @@ def _moved(batch: pa.RecordBatch, window: int, buckets: int) -> pa.RecordBatch:
     """Decisions within the slice, and packed strings for the buckets."""
     raw, offsets = string_buffer(batch.column("text"))
     ids = batch.column("doc_id").fill_null(LAST).to_numpy()
-    keys = batch.column("k").to_numpy()
+    keys = keys_of(batch.column("k"))
     starts, ends, places = H.words(raw, offsets, H.NOT_SPACE)
     at, one, two, first = _windows(raw, starts, ends, places, window)
     doc = np.searchsorted(places, at, "right") - 1
@@ -97,7 +97,7 @@ def _moved(batch: pa.RecordBatch, window: int, buckets: int) -> pa.RecordBatch:
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         some = sent[a:b]
         parts = [text[x:y] for x, y in zip(low[a:b].tolist(), high[a:b].tolist(), strict=True)]
-        arrays = [np.diff(ids[home[some]], prepend=0), keys[home[some]], start[some], count[some], high[a:b] - low[a:b]]
+        arrays = [np.diff(ids[home[some]], prepend=0), *keys[home[some]].T, start[some], count[some], high[a:b] - low[a:b]]
         out["bucket"].append(int(bucket[a]))
         out["blob"].append(pack(arrays, b"".join(parts)))
     sent_rows = len(out["bucket"])
@@ -107,10 +107,10 @@ def _moved(batch: pa.RecordBatch, window: int, buckets: int) -> pa.RecordBatch:
     # Decisions ride to a bucket of their document's key, so that one pass over the texts is enough.
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(out["bucket"] + (keys[home[done]].astype(np.int64) % buckets).tolist(), pa.int32()),
+            pa.array(out["bucket"] + (keys[home[done], 0] % buckets).tolist(), pa.int32()),
             pa.array(out["blob"] + [None] * n, pa.binary()),
             pa.array(nothing + ids[home[done]].tolist(), pa.int64()),
-            pa.array(nothing + keys[home[done]].tolist(), pa.int32()),
+            pa.concat_arrays([pa.nulls(sent_rows, pa.binary()), key_array(keys[home[done]])]),
             pa.array(nothing + start[done].tolist(), pa.int32()),
             pa.array(nothing + (start[done] + count[done] + window - 1).tolist(), pa.int32()),
         ],
@@ -122,11 +122,11 @@ def _found(blobs: list[bytes], window: int) -> Iterator[pa.RecordBatch]:
     """Windows of one bucket that are also in a smaller document."""
     columns, texts = [], []
     for blob in blobs:
-        arrays, payload = unpack(blob, 5)
+        arrays, payload = unpack(blob, 6)
         arrays[0] = np.cumsum(arrays[0])
         columns.append(arrays)
         texts.append(payload)
-    ids, keys, start, count, size = (np.concatenate(x) for x in zip(*columns, strict=True))
+    ids, k1, k2, start, count, size = (np.concatenate(x) for x in zip(*columns, strict=True))
     raw = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate(([0], np.cumsum(size)))
     at, one, two, _ = _windows(raw, *H.words(raw, offsets, H.NOT_SPACE), window)
@@ -147,7 +147,7 @@ def _found(blobs: list[bytes], window: int) -> Iterator[pa.RecordBatch]:
     base = np.concatenate(([0], np.cumsum(count)))[owner]
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array(ids[owner], pa.int64()), pa.array(keys[owner], pa.int32()),
+            pa.array(ids[owner], pa.int64()), key_array(np.stack((k1, k2), 1)[owner]),
             pa.array(start[owner] + low - base, pa.int32()), pa.array(start[owner] + high - base + window - 1, pa.int32()),
         ],
         names=["doc_id", "k", "start", "end"],
@@ -175,11 +175,11 @@ def _buckets(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
 def repeated_stretches(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, k, start, end: word stretches covered by windows that also start in a smaller document.
 
-    k is a hash of the text that tells rows of one id apart; a null id is given as the greatest
+    k is a hash of 128 bits of the text that tells rows of one id apart; a null id is given as the greatest
     number. Stretches may overlap. Equal ids are not smaller than each other, so that a document
     listed twice doesn't remove itself.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("text").alias("k"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("k"))
     parts = partitions_for(docs)
     buckets = parts * BUCKETS_PER_PARTITION
     moved = arrow_map(rows, lambda batch: _moved(batch, window, buckets), MOVED)
@@ -203,7 +203,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     names = [name for name in docs.columns if name != "text"]
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), "text",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.hash("text").alias("k"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), text_key().alias("k"),
     )
     joined = rows.join(found, ["id", "k"], "left").select(
         "row", "text", F.transform("spans", lambda s: s["start"]).alias("starts"), F.transform("spans", lambda s: s["end"]).alias("ends")

@@ -157,7 +157,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """`docs` with `spans`: start, end (code points, end exclusive), kind; by start, then kind as listed.
 
     Matches of a rule are leftmost and do not overlap; spans of different rules may. A null text is
-    empty and has no span. Documents are told apart by id and text (see common.keyed): null ids and
+    empty and has no span. Documents are told apart by id and text (see common.text_key): null ids and
     repeated rows are scanned like others. Other columns are kept; one named `spans` is replaced.
     """
     docs = docs.drop("spans")

@@ -4,8 +4,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from stoplines.llm import minhash, passages, repeats
+from stoplines.llm import language, minhash, passages, repeats
 from stoplines.llm.common import components
 from stoplines.llm.suffix_sort import suffixes
 from tests.llm.cases import SCHEMA, documents, frame, groups, order
@@ -128,3 +129,17 @@ def test_components_of_chains(spark):
 @pytest.mark.parametrize("operator", [repeats.remove_repeats, passages.remove_repeats, minhash.near_duplicates, minhash.drop_near_duplicates])
 def test_empty_table(spark, operator):
     assert operator(frame(spark, [])).count() == 0
+
+
+def test_texts_with_one_32_bit_hash(spark):
+    """Different texts under one null id stay apart though Spark's hash gives both the same number."""
+    one, two = (" ".join(f"w{i * 20 + j}" for j in range(20)) for i in (2033, 116493))
+    texts = spark.createDataFrame([(one,), (two,)], "text string")
+    assert texts.select(F.hash("text")).distinct().count() == 1
+    docs = frame(spark, [(i, text, "en", "s", len(text), 0.0, "r") for i, text in [(1, one), (None, one), (None, two)]])
+    assert {row.text for row in minhash.drop_near_duplicates(docs.where("doc_id is null")).collect()} == {one, two}
+    assert as_rows(repeats.remove_repeats(docs), "doc_id", "text", "n_removed") == Counter([(1, one, 0), (None, one, 20), (None, two, 0)])
+    removed = as_rows(passages.remove_repeats(docs, 40, 8), "doc_id", "text", "n_removed")
+    assert removed == Counter([(1, one, len(one)), (None, one, len(one)), (None, two, 0)])
+    scored = language.score(docs, F.col("doc_id") == 1, rounds=0, n_kinds=1).where("doc_id is null").collect()
+    assert sorted((row.n_tokens, row.n_known) for row in scored) == [(21, 1), (21, 21)]
