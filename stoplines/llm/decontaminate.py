@@ -2,8 +2,9 @@
 
 Every Arrow batch of documents is a shard. A task builds the shard's suffix array over words and
 binary-searches every suffix of the benchmark items in it. That gives each suffix's longest
-verbatim match and, where it reaches a whole window, all its locations. A document never leaves
-its shard, so nothing is shuffled; a lost task builds its shards again.
+verbatim match, measured up to four windows (52 words), and, where it reaches a whole window, all
+its locations. Lengths and locations serve to mark the words that are hit and are not returned. A
+document never leaves its shard, so nothing is shuffled; a lost task builds its shards again.
 
 The benchmark is looked up in blocks of at most BLOCK_WORDS words (or one item), each broadcast in
 its turn, so that what is broadcast stays bounded however many items there are.
