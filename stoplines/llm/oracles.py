@@ -69,9 +69,68 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
+# Digests of leaves, levels of the trees of groups and of their roots, and each leaf's way up through both.
+OP11 = """
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, sha256(d || s || l || n || t) AS leaf,
+    CASE WHEN c % 7 = 0 THEN sha256(d || s || l || coalesce(len((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || t)
+    ELSE sha256(d || s || l || n || t) END AS own
+  FROM (
+    SELECT doc_id, lang, n_chars,
+      coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') AS d, coalesce(strlen(source) || ':' || source, '-') AS s,
+      coalesce(strlen(lang) || ':' || lang, '-') AS l, coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS n,
+      coalesce(strlen(text) || ':' || text, '-') AS t,
+      xor(4294967295, list_reduce(
+        list_transform(range(strlen(doc_id::VARCHAR)), lambda i: ord(substr(CAST(doc_id AS VARCHAR), CAST(i + 1 AS INT), 1))),
+        lambda crc, byte: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte)),
+        4294967295)) AS c
+    FROM documents)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS total
+  FROM leaves),
+tree AS (
+  SELECT lang, 0 AS level, place, total, leaf AS node FROM placed
+  UNION ALL
+  SELECT DISTINCT lang, level + 1, place // 2, (total + 1) // 2, sha256(string_agg(node, '') OVER (
+      PARTITION BY lang, place // 2 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  FROM tree WHERE total > 1),
+subroots AS (
+  SELECT lang, node AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place, count(*) OVER () AS total
+  FROM tree WHERE total = 1),
+top AS (
+  SELECT 0 AS level, place, total, subroot AS node FROM subroots
+  UNION ALL
+  SELECT DISTINCT level + 1, place // 2, (total + 1) // 2, sha256(string_agg(node, '') OVER (
+      PARTITION BY place // 2 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  FROM top WHERE total > 1),
+height AS (SELECT lang, max(level) AS height FROM tree GROUP BY lang),
+-- One row for each leaf and level, through both trees: the sibling, if there is one, and its side.
+steps AS (
+  SELECT p.lang, p.place AS first, t.level, t.place AS own_place, s.place AS other, s.node AS sibling
+  FROM placed p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang AND t.place = p.place >> t.level AND t.total > 1
+  LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM t.lang AND s.level = t.level AND s.place = xor(t.place, 1)
+  UNION ALL
+  SELECT p.lang, p.place, h.height + t.level, t.place, s.place, s.node
+  FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang JOIN height h ON h.lang IS NOT DISTINCT FROM p.lang
+  JOIN top t ON t.place = r.place >> t.level AND t.total > 1
+  LEFT JOIN top s ON s.level = t.level AND s.place = xor(t.place, 1)),
+proofs AS (SELECT lang, first, string_agg(sibling, '' ORDER BY level) AS siblings FROM steps GROUP BY lang, first),
+fold AS (
+  SELECT lang, place, 0 AS level, own AS node FROM placed
+  UNION ALL
+  SELECT f.lang, f.place, f.level + 1, sha256(CASE WHEN other IS NULL THEN node WHEN other < own_place THEN sibling || node ELSE node || sibling END)
+  FROM fold f JOIN steps s ON s.lang IS NOT DISTINCT FROM f.lang AND s.first = f.place AND s.level = f.level),
+last AS (SELECT lang, place, arg_max(node, level) AS folded_root FROM fold GROUP BY lang, place),
+root AS (SELECT node AS root FROM top WHERE total = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang JOIN last l ON l.lang IS NOT DISTINCT FROM p.lang AND l.place = p.place
+LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.first = p.place, root
+"""
+
 ORACLES: dict[str, str] = {
     "op2_spherical_cells": OP2,
     "op3_minhash_near_duplicates": OP3,
     "op5_super_kmer_repeats": OP5,
     "op7_suffix_array_decontamination": OP7,
+    "op11_persistent_merkle_manifest": OP11,
 }

@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stoplines.llm import decontaminate, embeddings, language, minhash, passages, quality, repeats, secrets, subword, toxicity
+from stoplines.llm import (
+    decontaminate,
+    embeddings,
+    language,
+    merkle,
+    minhash,
+    passages,
+    quality,
+    repeats,
+    secrets,
+    subword,
+    token_counts,
+    toxicity,
+    whitening,
+)
 from stoplines.llm.common import fold, table
+from stoplines.storage import scratch_dir
 
 
 def op1_subword_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +97,24 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_persistent_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.col("doc_id").isNotNull() & (fold(7) == 0)
+    one_more = F.coalesce(F.try_add("n_chars", F.lit(1)), F.col("n_chars"))
+    return merkle.verified(merkle.manifest(docs, tampered, {"n_chars": one_more}))
+
+
+def op12_digest_cache_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts with an empty cache; a job that runs again would name a folder that stays."""
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), scratch_dir(spark, "token-cache"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
+
+
+def op13_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -95,5 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_boosted_toxicity,
         op9_induced_suffix_repeats,
         op10_trigram_secrets,
+        op11_persistent_merkle_manifest,
+        op12_digest_cache_token_counts,
+        op13_chebyshev_whitening,
     )
 }

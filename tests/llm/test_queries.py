@@ -29,7 +29,7 @@ pytestmark = pytest.mark.skipif(not FOLDER.is_dir(), reason="needs the generated
 
 def test_one_query_for_each_operator():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} == set(app.queries()) - set(app.QUERIES)
 
 
