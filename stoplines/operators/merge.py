@@ -74,6 +74,86 @@ def fold_changes(
     )
 
 
+def fold_with_positions(
+    changes: DataFrame,
+    key: str = "stop_id",
+    position: str = "position",
+    arrival: str = "new_arrival",
+    departure: str = "new_departure",
+    cancelled: str = "cancelled",
+) -> DataFrame:
+    """As `fold_changes` by one number, with the position of each latest value as `<name>_position`."""
+
+    def at(name: str) -> Column:
+        return F.max(F.when(F.col(name).isNotNull(), F.col(position))).alias(f"{name}_position")
+
+    def latest(name: str) -> Column:
+        return F.max_by(name, F.when(F.col(name).isNotNull(), F.col(position))).alias(name)
+
+    return changes.groupBy(key).agg(
+        latest(arrival), at(arrival), latest(departure), at(departure), F.bool_or(cancelled).alias(cancelled)
+    )
+
+
+def merge_changes(old: DataFrame, new: DataFrame, key: str = "stop_id") -> DataFrame:
+    """Two states of changes as one: of each time the later one, cancelled if ever cancelled.
+
+    A state has one row per key: `arrival` and `departure`, each a struct of the position and the time of the latest known
+    value or NULL, and `cancelled`. Structs are compared field by field, so the result does not depend on
+    which state is the old one, and states can be merged in any order and grouping.
+    """
+    joined = old.alias("o").join(new.alias("n"), key, "full")
+    times = {name: F.greatest(f"o.{name}", f"n.{name}") for name in ("arrival", "departure")}
+    ever = F.coalesce("o.cancelled", F.lit(False)) | F.coalesce("n.cancelled", F.lit(False))
+    return joined.select(key, *[value.alias(name) for name, value in times.items()], ever.alias("cancelled"))
+
+
+PLAN = ("station_eva", "profile_id", "date_id", "train_line", "planned_arrival", "planned_departure", "planned_from")
+
+
+def merge_facts(facts: DataFrame | None, plans: DataFrame, changes: DataFrame, key: str = "stop_id") -> DataFrame:
+    """Facts with the plans and changes of a delivery; each input has one row per key.
+
+    A fact has the state of its stop: `planned_from`, the position of its plan, and `arrival_from` and `departure_from`, those
+    of its actual times. The plan with the smallest position stays, and the time with the greatest. A delay is that of the
+    latest time against the plan, 0 without a time, NULL without a planned time. A cancellation is never taken back. Changes
+    of other stops are ignored. Deliveries can thus be merged in any order.
+    """
+    position = plans.schema["planned_from"].dataType.simpleString()
+    no_time = F.lit(None).cast("timestamp_ntz")
+    if facts is None:
+        rows = plans.select(key, *PLAN).withColumns({
+            "actual_arrival": no_time, "actual_departure": no_time,
+            "arrival_from": F.lit(None).cast(position), "departure_from": F.lit(None).cast(position),
+            "is_cancelled": F.lit(False),
+        })
+    else:
+        joined = facts.alias("o").join(plans.select(key, *PLAN).alias("n"), key, "full")
+        first = F.col("o.planned_from").isNull() | (F.col("n.planned_from") < F.col("o.planned_from"))
+        state = ("actual_arrival", "actual_departure", "arrival_from", "departure_from")
+        rows = joined.select(
+            key, *[F.when(first, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in PLAN],
+            *[F.col(f"o.{c}").alias(c) for c in state],
+            F.coalesce("o.is_cancelled", F.lit(False)).alias("is_cancelled"),
+        )
+    parts = ("archive", "seq", "pos")
+    for name in ("arrival", "departure"):
+        own = F.struct(*[F.col(f"{name}_from.{c}").alias(c) for c in parts], F.col(f"actual_{name}").alias("time"))
+        rows = rows.withColumn(f"own_{name}", F.when(F.col(f"{name}_from").isNotNull(), own))
+    merged = rows.join(changes.select(key, "arrival", "departure", "cancelled"), key, "left")
+    for name in ("arrival", "departure"):
+        latest = F.greatest(f"own_{name}", name)
+        merged = merged.withColumn(name, latest)
+        minutes = minutes_between(F.col(f"planned_{name}"), F.col(f"{name}.time"))
+        merged = merged.withColumns({
+            f"actual_{name}": F.col(f"{name}.time"),
+            f"{name}_from": F.when(F.col(name).isNotNull(), F.struct(*[F.col(f"{name}.{c}").alias(c) for c in parts])),
+            f"{name}_delay_minutes": F.when(F.col(f"{name}.time").isNotNull(), minutes).otherwise(F.lit(0)),
+        })
+    ever = F.col("is_cancelled") | F.coalesce("cancelled", F.lit(False))
+    return merged.withColumn("is_cancelled", ever).drop("own_arrival", "own_departure", "arrival", "departure", "cancelled")
+
+
 def apply_changes(
     stops: DataFrame,
     folded: DataFrame,

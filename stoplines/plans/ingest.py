@@ -6,25 +6,34 @@
     layers    planned_events, changed_events          one folder per day
     reports   corrupt_documents, unresolved_documents, stops_without_id, orphan_stops,
               orphan_stations, dropped_stations
+    pending   pending_changes                         changes of stops that no plan is known of yet
 
-Everything is written to a new snapshot folder. A later run can start from an earlier
-snapshot: existing stations are updated, existing days, profiles and stops stay.
+A later delivery starts from the snapshot of an earlier one: existing stations are updated, existing days and
+profiles stay. A fact has the positions of its plan and times, so that of two deliveries the plan read first and the time
+read last count by the order of archives, whichever was delivered first. Stops that were left out for want of their
+station or day, and changes without a stop, are tried again.
+
+Dims and reports are written to a new snapshot folder each time. So are facts and layers, as a whole; or they are
+kept in one `store` for all deliveries, where a delivery adds its rows to the layers and writes only those days of the facts
+again in which a stop has changed.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stoplines.operators.dims import date_dim, profile_dim, station_dictionary, station_dim
 from stoplines.operators.merge import (
-    apply_changes,
-    fold_changes,
+    PLAN,
+    fold_with_positions,
     insert_absent,
     keep_first,
+    merge_changes,
+    merge_facts,
     orphans,
     upsert,
 )
@@ -39,7 +48,8 @@ from stoplines.sources.feed import (
     stop_changes,
 )
 from stoplines.sources.stations import read_stations
-from stoplines.sources.tables import read_table, write_by_date, write_by_day, write_table
+from stoplines.sources.tables import drop_days, read_table, write_by_date, write_by_day, write_table
+from stoplines.storage import exists, materialize
 
 REPORTS = (
     "corrupt_documents", "unresolved_documents", "stops_without_id", "orphan_stops", "orphan_stations", "dropped_stations",
@@ -62,6 +72,22 @@ FACT_COLUMNS = [
     "departure_delay_minutes",
     "is_cancelled",
 ]
+_POSITION = "struct<archive:string,seq:bigint,pos:int>"
+FACT_SCHEMA = (
+    "stop_id string, station_eva bigint, profile_id int, train_line string, planned_arrival timestamp_ntz, "
+    "actual_arrival timestamp_ntz, planned_departure timestamp_ntz, actual_departure timestamp_ntz, "
+    "arrival_delay_minutes int, departure_delay_minutes int, is_cancelled boolean, "
+    f"planned_from {_POSITION}, arrival_from {_POSITION}, departure_from {_POSITION}, date_id date"
+)
+_CHANGE = "struct<archive:string,seq:bigint,pos:int,time:timestamp_ntz>"
+STATE_SCHEMA = f"stop_id string, arrival {_CHANGE}, departure {_CHANGE}, cancelled boolean"
+
+
+def archive_numbers(archives: DataFrame) -> DataFrame:
+    """(archive, _number) The archives in their order."""
+    # One row per file of the delivery.
+    number = F.row_number().over(W.orderBy("archive")) - 1
+    return archives.select("archive").distinct().withColumn("_number", number.cast("decimal(10,0)"))
 
 
 def with_position(rows: DataFrame, archives: DataFrame) -> DataFrame:
@@ -69,16 +95,32 @@ def with_position(rows: DataFrame, archives: DataFrame) -> DataFrame:
 
     Aggregations on a number hash, those on a struct sort. `archives` lists the archives.
     """
-    # One row per file of the delivery.
-    number = F.row_number().over(W.orderBy("archive")) - 1
-    numbers = archives.select("archive").distinct().withColumn("_number", number.cast("decimal(10,0)"))
     place = (F.col("_number") * ROOM + F.col("seq")) * ROOM + F.col("pos")
     return (
-        rows.join(numbers, "archive").withColumn("position", place.cast("decimal(38,0)"))
+        rows.join(archive_numbers(archives), "archive").withColumn("position", place.cast("decimal(38,0)"))
         .drop("archive", "seq", "pos", "_number")
     )
 
 
+def change_state(changes: DataFrame, archives: DataFrame) -> DataFrame:
+    """The changes of a delivery as one row per stop, in a form that can be merged with that of other deliveries.
+
+    Folded by numbers, which count archives within the delivery only; the few rows left get the archives' names.
+    """
+    state = fold_with_positions(with_position(changes, archives))
+    numbers = archive_numbers(archives)
+    for name in ("arrival", "departure"):
+        position = f"new_{name}_position"
+        named = numbers.select(F.col("archive").alias("_archive"), F.col("_number").cast("bigint").alias("_n"))
+        at = F.struct(
+            F.col("_archive").alias("archive"), F.expr(f"({position} % {ROOM**2}BD) div {ROOM}BD").alias("seq"),
+            (F.col(position) % ROOM).cast("int").alias("pos"), F.col(f"new_{name}").alias("time"),
+        )
+        state = state.withColumn("_n", F.expr(f"{position} div {ROOM**2}BD")).join(named, "_n", "left")
+        state = state.withColumn(name, F.when(F.col(position).isNotNull(), at)).drop("_n", "_archive")
+    return state.select("stop_id", "arrival", "departure", "cancelled")
+
+
 def with_defaults(stops: DataFrame) -> DataFrame:
     """Planned stops before any change: no actual times, delays 0, not cancelled."""
     return stops.withColumns({
@@ -105,6 +147,42 @@ def archive_names(docs: DataFrame) -> DataFrame:
     return docs.select("archive").distinct()
 
 
+def _same_days(days: list) -> Column:
+    known = [day for day in days if day is not None]
+    chosen = F.col("date_id").isin(known)
+    return chosen | F.col("date_id").isNull() if None in days else chosen
+
+
+def update_facts(facts: DataFrame, plans: DataFrame, changes: DataFrame, path: str) -> None:
+    """Merge a delivery into the stored facts at `path`; days without a change keep their files.
+
+    Of the stored facts, `stop_id` and the position of the plan are read to find the day of each stop that the delivery
+    names, and whole rows only of the days that change.
+    """
+    spark = facts.sparkSession
+    named = plans.select("stop_id").union(changes.select("stop_id")).distinct()
+    known = materialize(
+        facts.select("stop_id", "date_id", F.col("planned_from").alias("known_from")).join(named, "stop_id", "left_semi"),
+        "known-stops",
+    )
+    # A plan counts if it is the first of its stop, or comes before the one that did.
+    earlier = plans.join(known.select("stop_id", "known_from", F.col("date_id").alias("known_day")), "stop_id", "left").filter(
+        F.col("known_from").isNull() | (F.col("planned_from") < F.col("known_from"))
+    )
+    earlier = materialize(earlier, "earlier-plans")
+    moved = earlier.filter(F.col("known_from").isNotNull()).select(F.col("known_day").alias("date_id"))
+    altered = known.join(changes.select("stop_id"), "stop_id", "left_semi").select("date_id")
+    # Days of the calendar: few, however many stops there are.
+    days = [row[0] for row in earlier.select("date_id").union(moved).union(altered).distinct().collect()]
+    if not days:
+        return
+    merged = merge_facts(facts.filter(_same_days(days)), earlier.drop("known_from", "known_day"), changes)
+    merged = materialize(merged.select(*facts.columns), "merged-facts")
+    write_by_day(merged, "date_id", path, cluster=("station_eva", "stop_id"), only_days=True)
+    left = {row[0] for row in merged.select("date_id").distinct().collect()}
+    drop_days(spark, path, "date_id", [day for day in days if day not in left])
+
+
 def run_ingest(
     spark: SparkSession,
     stations_json: str,
@@ -112,39 +190,44 @@ def run_ingest(
     timetable_changes: str,
     out: str,
     previous: str | None = None,
+    store: str | None = None,
 ) -> None:
-    """Read one delivery and write the snapshot `out`, on top of the snapshot `previous` if given."""
+    """Read one delivery and write the snapshot `out`, on top of the snapshot `previous` if given.
+
+    With `store`, facts and layers are not part of the snapshot but kept there, for all deliveries.
+    """
+    shared = store or out
 
-    def store(df: DataFrame, name: str) -> DataFrame:
+    def store_as(df: DataFrame, name: str) -> DataFrame:
         write_table(df, f"{out}/{name}")
-        return read_table(spark, f"{out}/{name}")
+        return read_table(spark, f"{out}/{name}", df.schema)
 
-    def before(name: str) -> DataFrame | None:
-        return read_table(spark, f"{previous}/{name}") if previous else None
+    def before(name: str, schema: str | None = None) -> DataFrame | None:
+        return read_table(spark, f"{previous}/{name}", schema) if previous else None
 
     listed = read_stations(spark, stations_json)
     stations = station_dim(listed)
     if previous:
         news = stations.withColumn("_order", F.lit(0))
         stations = upsert(before("dim_stations"), news, ["station_eva"], ["_order"])
-    stations = store(stations, "dim_stations")
+    stations = store_as(stations, "dim_stations")
     main = F.try_element_at(F.filter("evaNumbers", lambda e: e["isMain"]), F.lit(1))
     point = main["geographicCoordinates"]["coordinates"]
     wrong = F.exists(point, lambda x: x.isNotNull() & x.try_cast("decimal(9,6)").isNull())
     reason = F.when(main["number"].isNull(), "no main number").when(wrong, "wrong coordinate")
-    store(
+    store_as(
         listed.select("file", "pos", "name", reason.alias("reason")).filter("reason IS NOT NULL"), "dropped_stations"
     )
 
     days = date_dim(archive_ranges(spark, timetables))
     if previous:
         days = insert_absent(before("dim_time"), days, ["date_id"], ["date_id"])
-    days = store(days, "dim_time")
+    days = store_as(days, "dim_time")
 
     # Text is read and parsed once per delivery; everything below scans Parquet.
-    planned = store(parse_documents(read_archives(spark, timetables)), "staging/planned_docs")
-    changed = store(parse_documents(read_archives(spark, timetable_changes)), "staging/changed_docs")
-    store(
+    planned = store_as(parse_documents(read_archives(spark, timetables)), "staging/planned_docs")
+    changed = store_as(parse_documents(read_archives(spark, timetable_changes)), "staging/changed_docs")
+    store_as(
         corrupt_documents(planned)
         .withColumn("source", F.lit("planned"))
         .unionByName(corrupt_documents(changed).withColumn("source", F.lit("changed"))),
@@ -152,46 +235,58 @@ def run_ingest(
     )
 
     def store_planned_layer() -> None:
-        write_by_date(planned_events(planned), "planned_time", f"{out}/planned_events")
+        write_by_date(planned_events(planned), "planned_time", f"{shared}/planned_events", bool(store), ("station", "sid"))
 
     def store_changed_layer() -> None:
-        write_by_date(changed_events(changed), "changed_time", f"{out}/changed_events")
+        write_by_date(changed_events(changed), "changed_time", f"{shared}/changed_events", bool(store), ("station", "sid"))
 
     def store_facts() -> None:
         # Stored, so that the planner knows how small the resolved names are.
-        resolved = store(
+        resolved = store_as(
             fuzzy_resolve(station_names(planned), station_dictionary(stations)), "staging/station_names"
         )
         located = resolve_station(planned, resolved, keep=True)
         unknown = F.col("station_eva").isNull()
-        store(
+        store_as(
             located.filter(unknown & F.col("corrupt").isNull()).select("archive", "seq", "member", "station", "file_station"),
             "unresolved_documents",
         )
         # Parsed times and stops are stored once: profiles, reports and facts all read them.
-        rows = with_position(planned_stops(located.filter(~unknown)), archive_names(planned))
-        rows = store(rows.drop("station", "file_station"), "staging/planned_stops")
+        rows = planned_stops(located.filter(~unknown)).withColumn("planned_from", F.struct("archive", "seq", "pos"))
+        rows = store_as(rows.drop("station", "file_station", "archive", "seq", "pos"), "staging/planned_stops")
         named = F.col("stop_id").isNotNull()
-        store(rows.filter(~named), "stops_without_id")
+        store_as(rows.filter(~named), "stops_without_id")
+        rows = rows.filter(named)
+        if previous:
+            rows = rows.unionByName(before("orphan_stops")).unionByName(before("orphan_stations"))
         # An alias may stand for a station that the list lacks.
-        lost = store(orphans(rows.filter(named), stations, "station_eva"), "orphan_stations")
+        lost = store_as(orphans(rows, stations, "station_eva"), "orphan_stations")
         missing = lost.select("station_eva").distinct()
-        stops = rows.filter(named).join(missing, "station_eva", "left_anti")
+        stops = rows.join(missing, "station_eva", "left_anti")
 
-        profiles = store(profile_dim(stops, before("dim_train_profiles")), "dim_train_profiles")
+        profiles = store_as(profile_dim(stops, before("dim_train_profiles")), "dim_train_profiles")
 
-        store(orphans(stops, days, "date_id"), "orphan_stops")
+        store_as(orphans(stops, days, "date_id"), "orphan_stops")
         day = days.select(F.col("date_id").alias("_day"))
         dated = stops.join(day, F.col("date_id") == F.col("_day"), "left").filter(
             F.col("_day").isNotNull() | F.col("date_id").isNull()
         )
-        first = keep_first(dated, ["stop_id"], ["position"])
-        facts = with_defaults(with_profile_id(first, profiles)).select(*FACT_COLUMNS)
+        first = keep_first(dated, ["stop_id"], ["planned_from"])
+        plans = with_profile_id(first, profiles).select("stop_id", *PLAN)
+        state = change_state(stop_changes(changed), archive_names(changed))
         if previous:
-            facts = insert_absent(before("fact_train_stops").select(*FACT_COLUMNS), facts, ["stop_id"], ["stop_id"])
-        changes = with_position(stop_changes(changed), archive_names(changed))
-        folded = fold_changes(changes, order=("position",))
-        write_by_day(apply_changes(facts, folded), "date_id", f"{out}/fact_train_stops")
+            state = merge_changes(before("pending_changes", STATE_SCHEMA), state)
+        state = store_as(state, "staging/change_state")
+
+        path = f"{shared}/fact_train_stops"
+        if store and exists(spark, path):
+            update_facts(read_table(spark, path, FACT_SCHEMA), store_as(plans, "staging/plans"), state, path)
+        else:
+            old = before("fact_train_stops", FACT_SCHEMA) if previous and not store else None
+            facts = merge_facts(old, plans, state).select(*FACT_COLUMNS, "planned_from", "arrival_from", "departure_from")
+            write_by_day(facts, "date_id", path, cluster=("station_eva", "stop_id"))
+        facts = read_table(spark, path, FACT_SCHEMA)
+        store_as(state.join(facts.select("stop_id"), "stop_id", "left_anti"), "pending_changes")
 
     # These do not depend on each other: jobs of one use the cores that another leaves idle.
     parts = [store_planned_layer, store_changed_layer, store_facts]

@@ -7,6 +7,11 @@ feed AS (
          l_linestatus, o_orderpriority, l_returnflag, l_quantity, l_linenumber,
          l_orderkey, l_shipdate, l_partkey, l_suppkey, n_nationkey,
          'Berlin ' || n_name AS station, n_name AS file_station, month,
+         CAST(l_partkey % 12 + 1 AS VARCHAR) AS platform,
+         CASE WHEN l_quantity > 10 THEN n_name || '|' || l_returnflag END AS path,
+         CASE WHEN l_returnflag = 'A' THEN CAST(l_suppkey % 9 + 1 AS VARCHAR) ELSE '' END AS other_platform,
+         CASE WHEN l_quantity > 40 THEN n_name || '|' || l_linestatus ELSE '' END AS changed_path,
+         CASE WHEN l_returnflag = 'R' AND l_quantity < 10 THEN sd END AS ct_cancelled,
          od + to_hours(l_linenumber) AS pt_arrival,
          CASE WHEN l_linenumber > 1 THEN od + to_hours(l_linenumber) + INTERVAL 5 MINUTE END AS pt_departure,
          CASE WHEN l_linestatus = 'O' THEN sd + to_hours(l_linenumber) END AS ct_arrival,
@@ -15,7 +20,7 @@ feed AS (
   FROM (SELECT *, o_orderdate + INTERVAL 10 YEAR AS od, l_shipdate + INTERVAL 10 YEAR AS sd,
                CAST(date_trunc('month', o_orderdate + INTERVAL 10 YEAR) AS DATE) AS month
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+        JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
 ),
 stops AS (
   SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_returnflag
@@ -23,31 +28,68 @@ stops AS (
   FROM feed
 )"""
 
+# The stops of the feed with their changes; documents follow each other by station.
+_FACTS = """
+first AS (
+  SELECT * FROM stops
+  QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY file_station, l_shipdate, l_partkey, l_suppkey) = 1),
+folded AS (
+  SELECT stop_id,
+         arg_max(ct_arrival, (file_station, l_shipdate, l_partkey, l_suppkey)) FILTER (WHERE ct_arrival IS NOT NULL) AS new_arrival,
+         arg_max(ct_departure, (file_station, l_shipdate, l_partkey, l_suppkey)) FILTER (WHERE ct_departure IS NOT NULL) AS new_departure,
+         bool_or(flagged) AS cancelled
+  FROM feed GROUP BY stop_id),
+profiles AS (
+  SELECT row_number() OVER (ORDER BY o_orderpriority, l_linestatus) AS profile_id, *
+  FROM (SELECT DISTINCT o_orderpriority, l_linestatus FROM feed)),
+facts AS (
+  SELECT stop_id, o_orderpriority, l_linestatus, CAST(8000000 + n_nationkey AS BIGINT) AS station_eva,
+         CAST(profile_id AS INT) AS profile_id, month AS date_id, train_line,
+         pt_arrival AS planned_arrival, new_arrival AS actual_arrival,
+         pt_departure AS planned_departure, new_departure AS actual_departure,
+         CASE WHEN new_arrival IS NULL THEN 0 ELSE CAST(date_diff('minute', pt_arrival, new_arrival) AS INT)
+         END AS arrival_delay_minutes,
+         CASE WHEN new_departure IS NULL THEN 0 ELSE CAST(date_diff('minute', pt_departure, new_departure) AS INT)
+         END AS departure_delay_minutes,
+         cancelled AS is_cancelled
+  FROM first JOIN folded USING (stop_id) JOIN profiles USING (o_orderpriority, l_linestatus)
+)"""
+
 _PLANNED_EVENTS = """
 planned AS (
   SELECT stop_id AS sid, station, 'arrival' AS event_type, l_linestatus AS category,
          o_orderpriority AS number, '08' AS owner,
          CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS line, pt_arrival AS planned_time,
-         CAST(NULL AS VARCHAR) AS planned_platform, CAST(NULL AS VARCHAR) AS planned_path
+         platform AS planned_platform, CAST(NULL AS VARCHAR) AS planned_path
   FROM feed
   UNION ALL
   SELECT stop_id, station, 'departure', l_linestatus, o_orderpriority, '08', l_linestatus,
-         pt_departure, NULL, NULL
+         pt_departure, NULL, path
   FROM feed WHERE l_linenumber > 1
 )"""
 
 _CHANGED_EVENTS = """
 changed AS (
   SELECT stop_id AS sid, station, 'arrival' AS event_type, '' AS line, ct_arrival AS changed_time,
-         CAST(NULL AS TIMESTAMP) AS cancellation_time,
+         ct_cancelled AS cancellation_time,
          CASE WHEN flagged THEN 'c' ELSE '' END AS cancellation_status,
-         '' AS planned_platform, '' AS changed_path
+         '' AS planned_platform, changed_path
   FROM feed
   UNION ALL
-  SELECT stop_id, station, 'departure', '7', ct_departure, NULL, '', '', ''
+  SELECT stop_id, station, 'departure', '7', ct_departure, NULL, '', other_platform, ''
   FROM feed WHERE l_quantity > 25
 )"""
 
+# How often stations follow each other in a trip, that is an order.
+_NETWORK = """
+network AS (
+  SELECT src, dst, count(*) AS times FROM (
+    SELECT upper(trim(station)) AS dst, lag(upper(trim(station))) OVER (
+             PARTITION BY regexp_replace(sid, '-[0-9]+$', '')
+             ORDER BY planned_time NULLS FIRST, event_type, sid, upper(trim(station))) AS src
+    FROM planned)
+  WHERE src IS NOT NULL GROUP BY src, dst)"""
+
 _DICTIONARY = """
 dictionary AS (
   SELECT lower(trim(regexp_replace(p_name, '[^\\p{L}\\p{N}_]', ' ', 'g'))) AS name, min(p_partkey) AS eva
@@ -307,44 +349,60 @@ ORACLES: dict[str, str] = {
                CAST(round(13 + n_nationkey / 10.0, 6) AS DOUBLE) AS longitude
         FROM nation""",
     "ingest_facts": f"""
-        WITH {_FEED},
-        first AS (
-          SELECT * FROM stops
-          QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY l_shipdate, l_partkey, l_suppkey) = 1),
-        folded AS (
-          SELECT stop_id,
-                 arg_max(ct_arrival, (l_shipdate, l_partkey, l_suppkey))
-                   FILTER (WHERE ct_arrival IS NOT NULL) AS new_arrival,
-                 arg_max(ct_departure, (l_shipdate, l_partkey, l_suppkey))
-                   FILTER (WHERE ct_departure IS NOT NULL) AS new_departure,
-                 bool_or(flagged) AS cancelled
-          FROM feed GROUP BY stop_id),
-        profiles AS (
-          SELECT row_number() OVER (ORDER BY o_orderpriority, l_linestatus) AS profile_id, *
-          FROM (SELECT DISTINCT o_orderpriority, l_linestatus FROM feed))
-        SELECT stop_id, CAST(8000000 + n_nationkey AS BIGINT) AS station_eva,
-               CAST(profile_id AS INT) AS profile_id, month AS date_id, train_line,
-               pt_arrival AS planned_arrival, new_arrival AS actual_arrival,
-               pt_departure AS planned_departure, new_departure AS actual_departure,
-               CASE WHEN new_arrival IS NULL THEN 0
-                    ELSE CAST(date_diff('minute', pt_arrival, new_arrival) AS INT)
-               END AS arrival_delay_minutes,
-               CASE WHEN new_departure IS NULL THEN 0
-                    ELSE CAST(date_diff('minute', pt_departure, new_departure) AS INT)
-               END AS departure_delay_minutes,
-               cancelled AS is_cancelled
-        FROM first JOIN folded USING (stop_id) JOIN profiles USING (o_orderpriority, l_linestatus)""",
+        WITH {_FEED}, {_FACTS}
+        SELECT stop_id, station_eva, profile_id, date_id, train_line, planned_arrival, actual_arrival, planned_departure,
+               actual_departure, arrival_delay_minutes, departure_delay_minutes, is_cancelled
+        FROM facts""",
+    "ingest_two_deliveries": f"""
+        WITH {_FEED}, {_FACTS}
+        SELECT o_orderpriority AS train_number, l_linestatus AS train_type,
+               stop_id, station_eva, date_id, train_line, planned_arrival, actual_arrival, planned_departure,
+               actual_departure, arrival_delay_minutes, departure_delay_minutes, is_cancelled
+        FROM facts""",
     "ingest_cancelled": f"""
         WITH {_FEED},
         first AS (
           SELECT * FROM stops
-          QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY l_shipdate, l_partkey, l_suppkey) = 1),
+          QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY file_station, l_shipdate, l_partkey, l_suppkey) = 1),
         ever AS (SELECT stop_id, bool_or(flagged) AS cancelled FROM feed GROUP BY stop_id)
         SELECT count(*) AS cancelled FROM first JOIN ever USING (stop_id)
         WHERE cancelled AND month = DATE '2006-03-01' AND (hour(pt_arrival) = 4 OR hour(pt_departure) = 4)""",
-    "ingest_reports": """
-        SELECT * FROM (VALUES ('corrupt_documents', CAST(0 AS BIGINT)), ('dropped_stations', 0), ('orphan_stations', 0),
-          ('orphan_stops', 0), ('stops_without_id', 0), ('unresolved_documents', 0)) AS t(report, n_rows)""",
+    "ingest_reports": f"""
+        WITH {_FEED},
+        parts AS (
+          SELECT l_orderkey % 40 AS fault, month, l_orderkey // 4000000 AS low, file_station, count(*) AS n
+          FROM feed GROUP BY ALL)
+        SELECT 'corrupt_documents' AS report, CAST(2 * coalesce(sum(ceil(n / 1000.0)), 0) AS BIGINT) AS n_rows
+        FROM parts WHERE fault = 3
+        UNION ALL SELECT 'dropped_stations', count(*) FROM nation WHERE n_nationkey % 8 = 5
+        UNION ALL SELECT 'orphan_stations', count(*) FROM feed WHERE l_orderkey % 40 = 17
+        UNION ALL SELECT 'orphan_stops', count(*) FROM feed WHERE l_orderkey % 40 = 31
+        UNION ALL SELECT 'stops_without_id', count(*) FROM feed WHERE l_orderkey % 40 = 23
+        UNION ALL SELECT 'unresolved_documents', CAST(coalesce(sum(ceil(n / 1000.0)), 0) AS BIGINT)
+        FROM (SELECT sum(n) AS n FROM parts WHERE fault = 11 GROUP BY month, low)""",
+    "station_network": f"""
+        WITH {_FEED}, {_PLANNED_EVENTS}, {_NETWORK}
+        SELECT src, dst, times FROM network""",
+    "station_path": f"""
+        WITH RECURSIVE {_FEED}, {_PLANNED_EVENTS}, {_NETWORK},
+        ends AS (SELECT min(src) AS low, max(src) AS high, avg(times) AS mean FROM network),
+        rare AS (SELECT src, dst FROM network, ends WHERE times <= mean AND src <> dst),
+        graph AS (SELECT src, dst FROM rare UNION SELECT dst, src FROM rare),
+        walk(node, hop) AS (
+          SELECT low, 0 FROM ends
+          UNION SELECT dst, hop + 1 FROM walk JOIN graph ON src = node WHERE hop < 15),
+        reached AS (SELECT node, min(hop) AS hop FROM walk GROUP BY node),
+        paths(node, hop, path) AS (
+          SELECT low, 0, [low] FROM ends
+          UNION ALL
+          SELECT dst, hop, path FROM (
+            SELECT g.dst, p.hop + 1 AS hop, list_append(p.path, g.dst) AS path,
+                   row_number() OVER (PARTITION BY g.dst ORDER BY list_append(p.path, g.dst)) AS rank
+            FROM paths p JOIN graph g ON g.src = p.node
+            JOIN reached r ON r.node = g.dst AND r.hop = p.hop + 1)
+          WHERE rank = 1)
+        SELECT CAST(hop AS INT) AS hops, array_to_string(path, ' -> ') AS path
+        FROM paths WHERE node = (SELECT high FROM ends)""",
     "ingest_days": f"""
         WITH {_FEED},
         days AS (
@@ -362,6 +420,6 @@ ORACLES: dict[str, str] = {
         SELECT CAST(planned_time AS DATE) AS date,
                round(avg(date_diff('minute', planned_time, changed_time)), 6) AS avg_delay
         FROM planned JOIN changed USING (sid, station, event_type)
-        WHERE station = 'Berlin NATION_7' AND cancellation_status <> 'c'
+        WHERE station = 'Berlin NATION_8' AND cancellation_status <> 'c'
         GROUP BY 1""",
 }

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from stoplines.functions.text import clean_text, normalize_name
 from stoplines.functions.times import feed_text, feed_time
 from stoplines.operators import delays, dims, geo, graph, merge, names, quality, stations
+from stoplines.plans import network
 from stoplines.plans.ingest import FACT_COLUMNS, REPORTS, run_ingest, with_defaults
-from stoplines.plans.table_feed import table_feed
+from stoplines.plans.table_feed import table_feed, tables_version
 from stoplines.sources.archives import path_metadata, read_archives
 from stoplines.sources.feed import (
     changed_events,
@@ -359,17 +360,47 @@ def station_dim(t: Tables) -> DataFrame:
     return found.withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")})
 
 
-_SNAPSHOTS: dict[tuple[str, str], str] = {}
+_SNAPSHOTS: dict[tuple, str] = {}
+# Archives whose names have a month of an even, and of an odd number.
+EVEN_MONTHS, ODD_MONTHS = "part*_??[01][02468]??_*", "part*_??[01][13579]??_*"
 
 
-def _snapshot(t: Tables, name: str) -> DataFrame:
-    """A table of the star schema built from the whole feed; the job runs once per session."""
-    known = (t.spark.sparkContext.applicationId, t.folder)
+def _built(t: Tables, kind: str, build: Callable[[str], None]) -> str:
+    """The folder that a run of the ingest job wrote; it runs once per session for the same tables."""
+    known = (*tables_version(t.spark, t.folder), kind)
     if known not in _SNAPSHOTS:
-        feed, out = table_feed(t.spark, t.folder), scratch_dir(t.spark, "snapshot")
-        run_ingest(t.spark, f"{feed}/stations", f"{feed}/timetables", f"{feed}/timetable_changes", out)
+        out = scratch_dir(t.spark, kind)
+        build(out)
         _SNAPSHOTS[known] = out
-    return read_table(t.spark, f"{_SNAPSHOTS[known]}/{name}")
+    return _SNAPSHOTS[known]
+
+
+def _snapshot(t: Tables, name: str, faults: bool = False) -> DataFrame:
+    """A table of the star schema built from the whole feed."""
+
+    def build(out: str) -> None:
+        feed = table_feed(t.spark, t.folder, faults)
+        run_ingest(t.spark, f"{feed}/stations", f"{feed}/timetables", f"{feed}/timetable_changes", out)
+
+    return read_table(t.spark, f"{_built(t, f'snapshot-{faults}', build)}/{name}")
+
+
+def _two_deliveries(t: Tables, name: str) -> DataFrame:
+    """A table of the store that two deliveries left: the later months of each pair of months first, and changes before their plans."""
+
+    def build(out: str) -> None:
+        feed = table_feed(t.spark, t.folder)
+
+        def deliver(number: int, months: str, changed: str, **more: str) -> None:
+            run_ingest(
+                t.spark, f"{feed}/stations", f"{feed}/timetables/{months}", f"{feed}/timetable_changes/{changed}",
+                f"{out}/deliveries/{number}", store=f"{out}/store", **more,
+            )
+
+        deliver(1, EVEN_MONTHS, ODD_MONTHS)
+        deliver(2, ODD_MONTHS, EVEN_MONTHS, previous=f"{out}/deliveries/1")
+
+    return read_table(t.spark, f"{_built(t, 'deliveries', build)}/{name}")
 
 
 def ingest_facts(t: Tables) -> DataFrame:
@@ -382,13 +413,42 @@ def ingest_cancelled(t: Tables) -> DataFrame:
 
 
 def ingest_reports(t: Tables) -> DataFrame:
-    """Rows of each report of the ingest job; the feed has no faults."""
+    """Rows of each report of the ingest job on a feed that has a share of each fault."""
     counts = [
-        _snapshot(t, name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("report"), "n_rows") for name in sorted(REPORTS)
+        _snapshot(t, name, faults=True).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("report"), "n_rows")
+        for name in sorted(REPORTS)
     ]
     return reduce(DataFrame.union, counts)
 
 
+def ingest_two_deliveries(t: Tables) -> DataFrame:
+    """The facts after two deliveries in the wrong order: those of the whole feed. Profile numbers follow the order, so pairs are shown."""
+    profiles = _two_deliveries(t, "deliveries/2/dim_train_profiles")
+    facts = _two_deliveries(t, "store/fact_train_stops").join(profiles, "profile_id")
+    return facts.select("train_number", "train_type", *[c for c in FACT_COLUMNS if c != "profile_id"])
+
+
+def _network(t: Tables) -> DataFrame:
+    def build(out: str) -> None:
+        network.add_days(_snapshot(t, "planned_events"), out)
+
+    return network.network(t.spark, _built(t, "network", build))
+
+
+def station_network(t: Tables) -> DataFrame:
+    """Stations that follow each other in the trips of the planned layer, and how often."""
+    return _network(t)
+
+
+def station_path(t: Tables) -> DataFrame:
+    """The path through the rare ways of the network, those taken no more often than the mean, from the first station to the last."""
+    ways = materialize(_network(t), "ways")
+    mean, low, high = ways.agg(F.avg("times"), F.min("src"), F.max("src")).first()
+    rare = graph.undirected(ways.filter((F.col("times") <= mean) & (F.col("src") != F.col("dst"))))
+    found = graph.shortest_path(rare, low, high, both_ways=True)
+    return found.select("hops", F.array_join("path", " -> ").alias("path"))
+
+
 def ingest_days(t: Tables) -> DataFrame:
     return _snapshot(t, "dim_time")
 
@@ -400,7 +460,7 @@ def ingest_profiles(t: Tables) -> DataFrame:
 def ingest_daily_delay(t: Tables) -> DataFrame:
     """Mean daily delay of one station, on the event layers of the ingest job."""
     daily = delays.daily_delay(
-        _snapshot(t, "planned_events"), _snapshot(t, "changed_events"), "Berlin NATION_7", same_day=False
+        _snapshot(t, "planned_events"), _snapshot(t, "changed_events"), "Berlin NATION_8", same_day=False
     )
     return daily.select("date", F.round("avg_delay", 6).alias("avg_delay"))
 
@@ -445,6 +505,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "ingest_facts": ingest_facts,
     "ingest_cancelled": ingest_cancelled,
     "ingest_reports": ingest_reports,
+    "ingest_two_deliveries": ingest_two_deliveries,
+    "station_network": station_network,
+    "station_path": station_path,
     "ingest_days": ingest_days,
     "ingest_profiles": ingest_profiles,
     "ingest_daily_delay": ingest_daily_delay,

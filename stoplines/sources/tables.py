@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stoplines.storage import materialize, remove
+
 # Rows of one day that one task writes to one file.
 ROWS_PER_FILE = 4_000_000
+# Files that one task opens.
+FILES_PER_TASK = 64
+# Values of the first cluster column that the Bloom filter of a row group has room for.
+CLUSTERS_PER_FILE = 10_000
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A stored table. With a schema also a layer without any row can be read."""
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
@@ -21,25 +27,54 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_by_day(
-    df: DataFrame, day: str, path: str, append: bool = False, rows_per_file: int = ROWS_PER_FILE
+    df: DataFrame,
+    day: str,
+    path: str,
+    append: bool = False,
+    rows_per_file: int = ROWS_PER_FILE,
+    cluster: tuple[str, ...] = (),
+    only_days: bool = False,
+    **options: str,
 ) -> None:
     """Replace `path` by the rows of `df`, or add them, in one folder per value of `day`.
 
-    A day goes to one task, or to as many as its rows need. Days are dealt over a fixed number
-    of tasks, which AQE doesn't merge: opening a file takes longer than filling it, so that many
-    small days must be written side by side.
+    With `only_days` only the folders of the days in `df` are replaced; `df` may read the same table.
+
+    The rows are evaluated once and stored; how many there are of a day is then read from that one column. A
+    day goes to one task, or to as many as its rows need. Days are dealt over a number of tasks that follows
+    from the number of files, and which AQE doesn't merge: opening a file takes longer than filling
+    it, so that many small days must be written side by side.
+
+    Within a file rows are in the order of the `cluster` columns, and the first of them has a Bloom filter, so that a reader
+    of one of its values skips the row groups without it.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    files = df.groupBy(F.col(day).alias("_day")).agg(
-        F.ceil(F.count("*") / rows_per_file).cast("int").alias("_files")
+    spark = df.sparkSession
+    staged = materialize(df, "by-day")
+    files = materialize(
+        staged.groupBy(F.col(day).alias("_day")).agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("_files")),
+        "days",
     )
-    dealt = df.join(files, F.col(day).eqNullSafe(F.col("_day")), "left").withColumn(
+    count = files.agg(F.coalesce(F.sum("_files"), F.lit(0)).alias("n")).first()["n"]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-count // FILES_PER_TASK))
+    dealt = staged.join(files, F.col(day).eqNullSafe(F.col("_day")), "left").withColumn(
         "_file", F.pmod(F.xxhash64(*df.columns), F.col("_files"))
     )
-    dealt = dealt.repartition(tasks, day, "_file").select(*df.columns)
-    dealt.write.mode("append" if append else "overwrite").partitionBy(day).parquet(path)
+    dealt = dealt.repartition(tasks, day, "_file").sortWithinPartitions(day, *cluster).select(*df.columns)
+    writer = dealt.write.mode("append" if append else "overwrite").partitionBy(day).options(**options)
+    if only_days:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    if cluster:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{cluster[0]}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{cluster[0]}", str(CLUSTERS_PER_FILE))
+    writer.parquet(path)
 
 
-def write_by_date(df: DataFrame, time: str, path: str, append: bool = False) -> None:
+def write_by_date(df: DataFrame, time: str, path: str, append: bool = False, cluster: tuple[str, ...] = ()) -> None:
     """As `write_by_day`, with the day of the column `time` as `date`."""
-    write_by_day(df.withColumn("date", F.to_date(time)), "date", path, append)
+    write_by_day(df.withColumn("date", F.to_date(time)), "date", path, append, cluster=cluster)
+
+
+def drop_days(spark: SparkSession, path: str, day: str, days: list) -> None:
+    """Remove the folders of some days of a table."""
+    for value in days:
+        remove(spark, f"{path}/{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")

@@ -45,10 +45,31 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _hadoop_path(spark, path)
+    return files.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all that is in it; one that does not exist is no error."""
+    folder, files = _hadoop_path(spark, path)
+    files.delete(folder, True)
+
+
+def version(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Number of files under a path, their bytes, and the latest change."""
+    folder, files = _hadoop_path(spark, path)
+    count = size = latest = 0
+    found = files.listFiles(folder, True)
+    while found.hasNext():
+        status = found.next()
+        count, size, latest = count + 1, size + status.getLen(), max(latest, status.getModificationTime())
+    return count, size, latest
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove all scratch tables of this application; results that still read them become invalid."""
-    path, files = _hadoop_path(spark, scratch_root(spark))
-    files.delete(path, True)
+    remove(spark, scratch_root(spark))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -2,14 +2,15 @@
 
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as app
 from stoplines.operators import delays, graph, merge, stations
-from stoplines.plans.ingest import archive_names, with_position
+from stoplines.plans.ingest import FACT_SCHEMA, archive_names, with_position
 from stoplines.sources.feed import stop_changes
-from stoplines.sources.tables import write_by_day
+from stoplines.sources.tables import read_table, write_by_day
 
 FOLDER = app.SMOKE_DIR
 
@@ -107,6 +108,8 @@ def test_folding_by_one_number_hashes(spark, small):
     changes = with_position(stop_changes(docs), archive_names(docs))
     text = physical(merge.fold_changes(changes, order=("position",)))
     assert "SortAggregate" not in text and text.count("HashAggregate") >= 2
+    text = physical(merge.fold_with_positions(changes))
+    assert "SortAggregate" not in text and text.count("HashAggregate") >= 2
 
 
 def test_positions_keep_the_order(spark):
@@ -132,3 +135,62 @@ def test_days_are_written_by_several_tasks(spark, tmp_path):
     # the hot day is split, and no row is lost
     assert len(list((tmp_path / "t" / "day=2025-01-01").glob("part-*.parquet"))) > 1
     assert spark.read.parquet(str(tmp_path / "t")).count() == 400
+
+
+def test_rows_are_evaluated_once_and_clustered(spark, tmp_path):
+    """A sink reads its input once; a reader of one station skips the row groups of others."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("s"), F.lpad((F.col("id") % 300).cast("string"), 3, "0")).alias("station"),
+        F.col("id").cast("string").alias("sid"), F.lit("2025-09-02").cast("date").alias("day"),
+    )
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    path = str(tmp_path / "t")
+    write_by_day(
+        rows.mapInArrow(count, rows.schema), "day", path, cluster=("station", "sid"), rows_per_file=30_000,
+        **{"parquet.block.size": "32768", "parquet.page.size": "4096"},
+    )
+    assert seen.value == 60_000
+    files = [p for p in (tmp_path / "t").rglob("part-*.parquet")]
+    assert len(files) == 2
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        assert meta.num_row_groups > 3
+        names = [r["station"] for r in spark.read.parquet(str(file)).select("station").collect()]
+        assert names == sorted(names)
+    read = spark.read.parquet(path).filter("station = 's007'")
+    assert read.count() == 200
+    text = spark.read.parquet(path).filter("station = 's007'").select("sid")
+    text.collect()
+    assert scanned(text) < 60_000 / 3
+
+
+def scanned(df):
+    """Rows that the scan of a query which has run gave to it."""
+    found = []
+
+    def walk(plan):
+        metrics = plan.metrics()
+        if plan.nodeName().startswith("Scan") and metrics.contains("numOutputRows"):
+            found.append(metrics.apply("numOutputRows").value())
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            walk(plan.executedPlan())
+        children = plan.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def test_known_layers_are_read_without_their_files(spark, tmp_path):
+    """With a schema no footer is read before the query runs."""
+    folder = tmp_path / "layer" / "date_id=2025-09-02"
+    folder.mkdir(parents=True)
+    (folder / "part-0.parquet").write_bytes(b"no parquet file")
+    assert read_table(spark, str(tmp_path / "layer"), FACT_SCHEMA).columns[-1] == "date_id"

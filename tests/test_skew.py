@@ -60,6 +60,31 @@ def test_edges_of_a_hot_trip(spark, hot):
     }
 
 
+def test_a_trip_without_times_is_spread(spark, hot):
+    """One trip of NULL times, and one with a row in each of very many moments, over several ranges of rows."""
+    stops = hot.select(
+        F.when(F.col("id") % 2 == 0, "untimed").otherwise("long").alias("trip"),
+        F.when(F.col("id") % 2 == 1, F.lit("2025-09-02 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int")))
+        .alias("planned_time"),
+        (F.col("id") % 7).cast("string").alias("node"), F.lit("arrival").alias("event_type"),
+        F.lpad(F.col("id").cast("string"), 8, "0").alias("sid"),
+    )
+    stored = []
+    original = graph.materialize
+    graph.materialize = lambda df, label: stored.append(original(df, label)) or stored[-1]
+    try:
+        edges = graph.consecutive_stops(stops, ranges=8)
+    finally:
+        graph.materialize = original
+    sizes = {(r._trip, r._range): r["count"] for r in stored[0].groupBy("_trip", "_range").count().collect()}
+    for trip in ("untimed", "long"):
+        own = [n for (name, _), n in sizes.items() if name == trip]
+        assert len(own) >= 4 and max(own) < ROWS / 4 and sum(own) == ROWS // 2
+    assert edges.agg(F.sum("times")).first()[0] == ROWS - 2
+    # every second id: the node two further on, in both trips
+    assert {(r.src, r.dst) for r in edges.select("src", "dst").distinct().collect()} == {(str(n), str((n + 2) % 7)) for n in range(7)}
+
+
 def test_hot_keys_are_split_where_nothing_is_broadcast(spark, hot):
     """The skew join finds the hot side of the anti-joins in front of it."""
     settings = {
