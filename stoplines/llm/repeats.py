@@ -9,12 +9,16 @@ Two levels keep hot passages small: a task first compares the windows of its own
 and of equal windows sends only those of the smallest document. A passage that a third of all
 documents share thus reaches its bucket once per slice.
 
+A string doesn't carry the key of its document but its number in the slice; the slices' lists of documents
+go once, apart from the strings, and what a bucket finds meets them by slice and number.
+
 Words are compared by 128 hash bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +30,16 @@ from stoplines.llm.blobs import pack, unpack
 from stoplines.llm.common import arrow_map, key_array, keys_of, partitions_for, string_buffer, text_key
 
 WINDOW = 13
+NAME = 16  # bytes of a slice's name
 STRETCH = 3  # words that a minimiser hashes
 BUCKETS_PER_PARTITION = 4
 LAST = np.iinfo(np.int64).max  # stands for a null id: after all others
 ROUND = 1 << 22  # windows of a bucket sorted at a time
 
-MOVED = "bucket int, blob binary, doc_id long, k binary, start int, end int"
-FOUND = "doc_id long, k binary, start int, end int"
+# A string, a decision (slice, number, start, end), or a document of a slice (slice, number, doc_id, k).
+FOUND = "slice binary, number int, doc_id long, k binary, start int, end int"
+MOVED = f"bucket int, blob binary, {FOUND}"
+NAMES = ["slice", "number", "doc_id", "k", "start", "end"]
 
 
 def _windows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, places: np.ndarray, window: int):
@@ -70,6 +77,8 @@ def _moved(batch: pa.RecordBatch, window: int, buckets: int) -> pa.RecordBatch:
     raw, offsets = string_buffer(batch.column("text"))
     ids = batch.column("doc_id").fill_null(LAST).to_numpy()
     keys = keys_of(batch.column("k"))
+    # Slices with the same documents in the same order have one name, and the same results.
+    name = md5(ids.tobytes() + keys.tobytes()).digest()
     starts, ends, places = H.words(raw, offsets, H.NOT_SPACE)
     at, one, two, first = _windows(raw, starts, ends, places, window)
     doc = np.searchsorted(places, at, "right") - 1
@@ -92,41 +101,43 @@ def _moved(batch: pa.RecordBatch, window: int, buckets: int) -> pa.RecordBatch:
     sent, bucket = sent[order], bucket[order]
     low, high = starts[at[begin[sent]]], ends[at[begin[sent]] + count[sent] + window - 2]
     text = raw.tobytes()
-    out = {name: [] for name in ("bucket", "blob", "doc_id", "k", "start", "end")}
+    buckets_of, blobs = [], []
     edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         some = sent[a:b]
         parts = [text[x:y] for x, y in zip(low[a:b].tolist(), high[a:b].tolist(), strict=True)]
-        arrays = [np.diff(ids[home[some]], prepend=0), *keys[home[some]].T, start[some], count[some], high[a:b] - low[a:b]]
-        out["bucket"].append(int(bucket[a]))
-        out["blob"].append(pack(arrays, b"".join(parts)))
-    sent_rows = len(out["bucket"])
+        arrays = [np.diff(ids[home[some]], prepend=0), np.diff(home[some], prepend=0), start[some], count[some], high[a:b] - low[a:b]]
+        buckets_of.append(int(bucket[a]))
+        blobs.append(pack(arrays, name + b"".join(parts)))
     done = np.flatnonzero(gone[begin])
-    n = len(done)
-    nothing = [None] * sent_rows
-    # Decisions ride to a bucket of their document's key, so that one pass over the texts is enough.
+    # Decisions and documents ride along to any bucket, so that one pass over the texts is enough.
+    own = np.arange(batch.num_rows)
+    spread = np.concatenate((home[done], own)) % buckets
+    numbers = np.concatenate((home[done], own))
+    strings, decisions = len(blobs), len(done)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(out["bucket"] + (keys[home[done], 0] % buckets).tolist(), pa.int32()),
-            pa.array(out["blob"] + [None] * n, pa.binary()),
-            pa.array(nothing + ids[home[done]].tolist(), pa.int64()),
-            pa.concat_arrays([pa.nulls(sent_rows, pa.binary()), key_array(keys[home[done]])]),
-            pa.array(nothing + start[done].tolist(), pa.int32()),
-            pa.array(nothing + (start[done] + count[done] + window - 1).tolist(), pa.int32()),
+            pa.array(buckets_of + spread.tolist(), pa.int32()), pa.array(blobs + [None] * len(numbers), pa.binary()),
+            pa.array([None] * strings + [name] * len(numbers), pa.binary()), pa.array([None] * strings + numbers.tolist(), pa.int32()),
+            pa.array([None] * (strings + decisions) + ids.tolist(), pa.int64()),
+            pa.concat_arrays([pa.nulls(strings + decisions, pa.binary()), key_array(keys)]),
+            pa.array([None] * strings + start[done].tolist() + [None] * len(own), pa.int32()),
+            pa.array([None] * strings + (start[done] + count[done] + window - 1).tolist() + [None] * len(own), pa.int32()),
         ],
-        names=list(out),
+        names=["bucket", "blob", *NAMES],
     )
 
 
 def _found(blobs: list[bytes], window: int) -> Iterator[pa.RecordBatch]:
     """Windows of one bucket that are also in a smaller document."""
-    columns, texts = [], []
+    columns, texts, names = [], [], []
     for blob in blobs:
-        arrays, payload = unpack(blob, 6)
-        arrays[0] = np.cumsum(arrays[0])
-        columns.append(arrays)
-        texts.append(payload)
-    ids, k1, k2, start, count, size = (np.concatenate(x) for x in zip(*columns, strict=True))
+        arrays, payload = unpack(blob, 5)
+        arrays[0], arrays[1] = np.cumsum(arrays[0]), np.cumsum(arrays[1])
+        columns.append([*arrays, np.full(len(arrays[0]), len(names))])
+        names.append(payload[:NAME])
+        texts.append(payload[NAME:])
+    ids, number, start, count, size, slice_ = (np.concatenate(x) for x in zip(*columns, strict=True))
     raw = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate(([0], np.cumsum(size)))
     at, one, two, _ = _windows(raw, *H.words(raw, offsets, H.NOT_SPACE), window)
@@ -145,12 +156,14 @@ def _found(blobs: list[bytes], window: int) -> Iterator[pa.RecordBatch]:
     low, high = np.sort(np.concatenate((low, inner))), np.sort(np.concatenate((high, inner)))
     owner = run[low]
     base = np.concatenate(([0], np.cumsum(count)))[owner]
+    n = len(owner)
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array(ids[owner], pa.int64()), key_array(np.stack((k1, k2), 1)[owner]),
+            pa.array(names, pa.binary()).take(pa.array(slice_[owner])), pa.array(number[owner], pa.int32()),
+            pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
             pa.array(start[owner] + low - base, pa.int32()), pa.array(start[owner] + high - base + window - 1, pa.int32()),
         ],
-        names=["doc_id", "k", "start", "end"],
+        names=NAMES,
     )
 
 
@@ -158,7 +171,7 @@ def _buckets(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
     """Rows come sorted by bucket; one bucket is held at a time."""
     now, blobs = None, []
     for batch in batches:
-        own = batch.filter(batch.column("blob").is_null()).select(["doc_id", "k", "start", "end"])
+        own = batch.filter(batch.column("blob").is_null()).select(NAMES)
         if own.num_rows:
             yield own
         rows = batch.filter(batch.column("blob").is_valid())
@@ -173,18 +186,24 @@ def _buckets(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
 
 
 def repeated_stretches(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, k, start, end: word stretches covered by windows that also start in a smaller document.
+    """doc_id, k, spans: word stretches (start, end) covered by windows that also start in a smaller document.
 
-    k is a hash of 128 bits of the text that tells rows of one id apart; a null id is given as the greatest
-    number. Stretches may overlap. Equal ids are not smaller than each other, so that a document
-    listed twice doesn't remove itself.
+    One row per id and text, spans may be empty. k is a hash of 128 bits of the text that tells rows of one id apart; a null
+    id is given as the greatest number. Stretches may overlap. Equal ids are not smaller than each other, so
+    that a document listed twice doesn't remove itself.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("k"))
     parts = partitions_for(docs)
     buckets = parts * BUCKETS_PER_PARTITION
     moved = arrow_map(rows, lambda batch: _moved(batch, window, buckets), MOVED)
     dealt = moved.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(lambda batches: _buckets(batches, window), FOUND)
+    found = dealt.mapInArrow(lambda batches: _buckets(batches, window), FOUND)
+    span = F.when(F.col("start").isNotNull(), F.struct("start", "end"))
+    documents = found.groupBy("slice", "number").agg(
+        F.max("doc_id").alias("doc_id"), F.max("k").alias("k"), F.collect_list(span).alias("spans")
+    )
+    # Copies under one id mostly have equal lists.
+    return documents.groupBy("doc_id", "k").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -196,10 +215,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     results = ["n_words", "n_removed", "kept"]
     docs = docs.drop(*results)
-    found = (
-        repeated_stretches(docs, window).groupBy(F.col("doc_id").alias("id"), "k")
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    )
+    found = repeated_stretches(docs, window).withColumnRenamed("doc_id", "id")
     names = [name for name in docs.columns if name != "text"]
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), "text",
