@@ -45,6 +45,7 @@ def messy_names(count):
 ])
 def test_same_best_match_for_any_rounds_and_slices(spark, monkeypatch, rounds, slice_entries, broadcast_entries):
     monkeypatch.setattr(similarity, "ROUNDS", rounds)
+    monkeypatch.setattr(similarity, "DIRECT_PAIRS", 0)
     monkeypatch.setattr(similarity, "SLICE_ENTRIES", slice_entries)
     monkeypatch.setattr(similarity, "BROADCAST_ENTRIES", broadcast_entries)
     monkeypatch.setattr(similarity, "TEXTS_PER_COPY", 10)
