@@ -5,13 +5,15 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer as Library
 
 import __spark_entry__ as app
 import corpus_pipeline
-from stoplines.llm import quality, secrets, subword
+from stoplines.llm import quality, secrets, subword, token_counts
 from stoplines.llm.common import string_buffer
 from stoplines.llm.lattice import Vocabulary
 from stoplines.llm.oracles import ORACLES
@@ -20,6 +22,7 @@ from stoplines.storage import materialize
 from tests.llm.cases import groups
 from tests.llm.test_operators import contamination
 from tests.llm.test_text_dedup import shingles
+from tests.llm.test_whitening import expected
 
 FOLDER = Path(app.SMOKE_DIR)
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -116,3 +119,36 @@ def test_pieces_spell_the_texts(stages):
     spelled = subword.decoded(pa.array([row.pieces for row in rows], pa.list_(pa.int32())), vocabulary).to_pylist()
     assert {row.doc_id: text for row, text in zip(rows, spelled, strict=True)} == after
     assert all(row.exact for row in rows)
+
+
+def test_token_counts_equal_the_library(spark):
+    library = Library.from_file(token_counts.TOKENIZER)
+    library.no_truncation()
+    library.no_padding()
+    wanted = Counter()
+    for row in spark.read.parquet(f"{FOLDER}/documents.parquet").collect():
+        n = len(library.encode(row.text or "", add_special_tokens=False).ids)
+        wanted[row.doc_id, len((row.text or "").encode()), n, n > 2048] += 1
+    found = QUERIES["op12_digest_cache_token_counts"](spark, str(FOLDER))
+    assert dict(found.dtypes) == {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}
+    assert Counter(tuple(row) for row in found.collect()) == wanted
+
+
+def test_whitening_equals_numpy(spark):
+    found = QUERIES["op13_chebyshev_whitening"](spark, str(FOLDER))
+    assert dict(found.dtypes) == {
+        "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double",
+        "explained": "double", "identity_error": "double",
+    }
+    vectors = [(row.vec_id, row.embedding) for row in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
+    usable = [(i, v) for i, v in vectors if v and all(x is not None and np.isfinite(x) for x in v)]
+    n, deviations, whitened, explained = expected(usable)
+    rows = found.collect()
+    assert len(rows) == 8 * n and all(row.n == n and row.identity_error < 1e-4 for row in rows)
+    for component in range(8):
+        own = sorted((row.vec_id, row.deviation, row.whitened) for row in rows if row.component == component + 1)
+        wanted = sorted((i, d, w) for (i, _), d, w in zip(usable, deviations, whitened[:, component], strict=True))
+        assert [row[:2] for row in own] == [row[:2] for row in wanted]
+        assert min(max(abs(a[2] - sign * b[2]) for a, b in zip(own, wanted, strict=True)) for sign in (1, -1)) < 1e-6
+        shares = {row.explained for row in rows if row.component == component + 1}
+        assert len(shares) == 1 and shares.pop() == pytest.approx(explained[component], rel=1e-6)
