@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stoplines.functions.text import clean_text, normalize_name
 from stoplines.functions.times import feed_text, feed_time
@@ -17,6 +18,7 @@ from stoplines.plans.table_feed import table_feed, tables_version
 from stoplines.sources.archives import path_metadata, read_archives
 from stoplines.sources.feed import (
     changed_events,
+    layer_schema,
     parse_documents,
     planned_events,
     planned_stops,
@@ -375,14 +377,14 @@ def _built(t: Tables, kind: str, build: Callable[[str], None]) -> str:
     return _SNAPSHOTS[known]
 
 
-def _snapshot(t: Tables, name: str, faults: bool = False) -> DataFrame:
+def _snapshot(t: Tables, name: str, faults: bool = False, schema: T.StructType | None = None) -> DataFrame:
     """A table of the star schema built from the whole feed."""
 
     def build(out: str) -> None:
         feed = table_feed(t.spark, t.folder, faults)
         run_ingest(t.spark, f"{feed}/stations", f"{feed}/timetables", f"{feed}/timetable_changes", out)
 
-    return read_table(t.spark, f"{_built(t, f'snapshot-{faults}', build)}/{name}")
+    return read_table(t.spark, f"{_built(t, f'snapshot-{faults}', build)}/{name}", schema)
 
 
 def _two_deliveries(t: Tables, name: str) -> DataFrame:
@@ -430,7 +432,7 @@ def ingest_two_deliveries(t: Tables) -> DataFrame:
 
 def _network(t: Tables) -> DataFrame:
     def build(out: str) -> None:
-        network.add_days(_snapshot(t, "planned_events"), out)
+        network.add_days(_snapshot(t, "planned_events", schema=layer_schema("planned")), out)
 
     return network.network(t.spark, _built(t, "network", build))
 
@@ -459,9 +461,10 @@ def ingest_profiles(t: Tables) -> DataFrame:
 
 def ingest_daily_delay(t: Tables) -> DataFrame:
     """Mean daily delay of one station, on the event layers of the ingest job."""
-    daily = delays.daily_delay(
-        _snapshot(t, "planned_events"), _snapshot(t, "changed_events"), "Berlin NATION_8", same_day=False
+    planned, changed = (
+        _snapshot(t, f"{kind}_events", schema=layer_schema(kind)) for kind in ("planned", "changed")
     )
+    daily = delays.daily_delay(planned, changed, "Berlin NATION_8", same_day=False)
     return daily.select("date", F.round("avg_delay", 6).alias("avg_delay"))
 
 

@@ -52,6 +52,12 @@ CHANGED_EVENT_SCHEMA = T.StructType([
 ])
 
 
+def layer_schema(kind: str) -> T.StructType:
+    """The columns of the stored layer of planned or changed events."""
+    events = {"planned": PLANNED_EVENT_SCHEMA, "changed": CHANGED_EVENT_SCHEMA}[kind]
+    return T.StructType([*events.fields, T.StructField("date", T.DateType())])
+
+
 def parse_documents(raw: DataFrame) -> DataFrame:
     """One row per document: path metadata, station, array of stops, and what is wrong with it.
 
