@@ -12,6 +12,7 @@ Trigrams are matched on lower-cased texts, which can only add candidates.
 from __future__ import annotations
 
 import re._parser as regex
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -45,6 +46,8 @@ RULES = (
 PLACEHOLDER = "[secret]"
 # As many strings are spelled out for one stretch of a pattern; beyond, the stretch is cut.
 SPELLED = 64
+# Running values and the parts of a redacted text are made in blocks of as many elements.
+BLOCK = 256
 
 Choice = frozenset[frozenset[str]]
 
@@ -128,6 +131,40 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 SPAN = "array<struct<start:int,kind_order:int,end:int,kind:string>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _blocks(values: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of each stretch of BLOCK elements, in order; none for an empty array."""
+    starts = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda start: body(F.slice(values, start, BLOCK)))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each element of an array of ints the merge of 0 and all elements before it, and one more: of all elements.
+
+    An array grows by copies, so the values grow within blocks, and the blocks' first values apart from them.
+    """
+
+    def grown(first: Column, own: Column) -> Column:
+        more = lambda out, value: F.concat(out, F.array(merge(F.element_at(out, -1), value))).cast("array<int>")
+        return F.aggregate(own, F.array(first).cast("array<int>"), more)
+
+    def all_blocks(all_values: Column) -> Column:
+        total = lambda own: F.aggregate(own, F.lit(0), lambda state, value: merge(state, value).cast("int"))
+        firsts = grown(F.lit(0), _blocks(all_values, total))
+        blocks = F.arrays_zip(_blocks(all_values, lambda own: own).alias("own"), firsts.alias("first"))
+        # After the last block stands its end, with no elements.
+        inner = lambda block: F.when(block["own"].isNull(), F.array(block["first"])).otherwise(
+            _let(grown(block["first"], block["own"]), lambda out: F.slice(out, 1, F.size(out) - 1))
+        )
+        return F.flatten(F.transform(blocks, inner))
+
+    return _let(values, all_blocks)
+
+
 def _spans(rule: Rule, order: int) -> Column:
     """Spans of all matches of the rule in `text`, leftmost first, from what lies between them."""
     pattern = F.lit(rule.pattern)
@@ -140,17 +177,17 @@ def _spans(rule: Rule, order: int) -> Column:
     # The last gap has no match after it.
     parts = F.filter(parts, lambda part: part["size"].isNotNull())
 
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + part["gap"]
-        end = start + part["size"]
-        span = F.struct(
-            start.alias("start"), F.lit(order).alias("kind_order"), end.alias("end"), F.lit(rule.kind).alias("kind")
-        )
-        found = F.when(part["value"] >= rule.at_least, F.concat(state["out"], F.array(span))).otherwise(state["out"])
-        return F.struct(end.alias("at"), found.cast(SPAN).alias("out"))
+    def spans(own: Column) -> Column:
+        ends = running(F.transform(own, lambda part: part["gap"] + part["size"]), lambda a, b: a + b)
+        ended = F.zip_with(own, F.slice(ends, 2, F.size(own)), lambda part, end: F.struct(
+            (end - part["size"]).alias("start"), end.alias("end"), part["value"].alias("value"),
+        ))
+        enough = F.filter(ended, lambda part: part["value"] >= rule.at_least)
+        return F.transform(enough, lambda part: F.struct(
+            part["start"].alias("start"), F.lit(order).alias("kind_order"), part["end"].alias("end"), F.lit(rule.kind).alias("kind"),
+        )).cast(SPAN)
 
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    return F.aggregate(parts, begin, step, lambda state: state["out"])
+    return _let(parts, spans)
 
 
 def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -197,18 +234,26 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, placeholder: str =
     n_chars, where it is a column, follows the new text; all other columns and all rows stay.
     """
 
-    def step(state: Column, span: Column) -> Column:
-        text = F.col("text")
-        inside = span["start"] < state["at"]
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(inside, state["out"]).otherwise(F.concat(state["out"], gap, F.lit(placeholder))).alias("out"),
-        )
+    text = F.col("text")
+
+    def part(span: Column, begin: Column, own: Column) -> Column:
+        """The gap before a span, within `own`, which begins at `begin`, and the placeholder; nothing for a span begun in another."""
+        gap = F.substring(own, span["at"] - begin + 1, span["start"] - span["at"])
+        return F.when(span["start"] < span["at"], F.lit("")).otherwise(F.concat(gap, F.lit(placeholder)))
+
+    def block(spans: Column) -> Column:
+        # Counting characters from the text's start for each span would be quadratic: each block has its own stretch.
+        begin = spans[0]["at"]
+        own = F.substring(text, begin + 1, F.greatest(F.element_at(spans, -1)["start"] - begin, F.lit(0)))
+        return _let(own, lambda stretch: F.array_join(F.transform(spans, lambda span: part(span, begin, stretch)), ""))
+
+    def cleaned(at: Column) -> Column:
+        spans = F.zip_with("spans", F.slice(at, 1, F.size("spans")), lambda span, before: F.struct(span["start"].alias("start"), before.alias("at")))
+        parts = _let(spans, lambda own: F.array_join(_blocks(own, block), ""))
+        return F.concat(parts, F.substring(text, F.element_at(at, -1) + 1, F.length(text)))
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda state: F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.length("text")))
-    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", begin, step, rest))
+    furthest = running(F.transform("spans", lambda span: span["end"]), F.greatest)
+    clean = F.when(F.size("spans") == 0, text).otherwise(_let(furthest, cleaned))
     out = scan_secrets(docs, rules).withColumn("text", clean)
     if "n_chars" in docs.columns:
         size = F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars"))

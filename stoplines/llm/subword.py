@@ -3,9 +3,16 @@
 The encoding of a text is the segmentation with the greatest sum of scores: a Viterbi path, that is a
 product of matrices in which max takes the place of plus and plus that of times. Documents longer
 than CHUNK characters are cut into chunks that are worked on apart: each gives the matrix of best
-scores from every state at its start (characters of a piece begun before) to every state at its end;
-the matrices of a document are combined in order; and with its states known each chunk is traced back
-by itself. Shorter documents are one chunk.
+scores from every state at its start (characters of a piece begun before) to every state at its end.
+A scan over the matrices, associative and in blocks of BLOCK chunks, gives the best score of every
+state before each chunk. From these each chunk tells, for every state at its end, by which state at
+its start the path to it came in; a scan over these maps, from the end, gives each chunk's two
+states, and the chunk is traced back by itself. Shorter documents are one chunk.
+
+Pieces don't depend on the chunks, also where segmentations are equally good: from the end of the text, the
+longest last piece of all best ways to a place is taken, and a piece that comes in from before a chunk is
+longer than any that ends at the same place and begins in the chunk. Scores are rounded to 2^-20, so that sums
+are exact in any order (whole numbers, as in the given vocabulary, stay as they are).
 
 Where no piece goes on after a space, no best path depends on what lies beyond the start of a word.
 Words are then segmented once for all their places in a slice, and a chunk's matrix is the sum of
@@ -14,6 +21,8 @@ a column, from its start to its first word, and a row, from its last word to its
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,6 +39,8 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 16
 LETTERS = 1 << 15  # characters in one lattice
 SLICE = 1 << 20  # bytes of text whose words are segmented together
+BLOCK = 256  # chunks of a document whose matrices or maps one task combines
+EXACT = 1 << 20  # scores are multiples of 1 / EXACT
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +54,7 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.weight = np.append(vocabulary.scores, vocabulary.fallback)
+        self.weight = np.round(np.append(vocabulary.scores, vocabulary.fallback) * EXACT) / EXACT
 
     def _lattice(self, points: np.ndarray, sizes: np.ndarray) -> tuple[Lattice, np.ndarray]:
         lattice = Lattice(self.vocabulary, points, sizes)
@@ -123,17 +134,49 @@ class Encoder:
         Entry (s, t): the best score of pieces from character s to character size + t, each of which
         starts within the chunk.
         """
-        states = self.vocabulary.longest
-        unit, _ = self._units(points[:size], np.array([size]))
-        unit = unit[(unit >= states) & (points[unit] == SPACE)] if self.vocabulary.cut_at_spaces else unit[:0]
-        if not len(unit):
+        words = self._words(points, size)
+        if not len(words):
             return self._full(points, size)
-        first, last = int(unit[0]), int(unit[-1])
+        first, last = int(words[0]), int(words[-1])
         head = self._full(points[:first], first)[:, 0]
         middle = self.segment(points[first:last], np.array([last - first]))[2][0]
         tail = self._full(points[last:], size - last)[0]
         return head[:, None] + middle + tail[None, :]
 
+    def _words(self, points: np.ndarray, size: int) -> np.ndarray:
+        """Places of a chunk at which every path begins a piece, beyond the states at its start."""
+        if not self.vocabulary.cut_at_spaces:
+            return np.empty(0, np.int64)
+        unit, _ = self._units(points[:size], np.array([size]))
+        return unit[(unit >= self.vocabulary.longest) & (points[unit] == SPACE)]
+
+    def entering(self, points: np.ndarray, size: int, row: np.ndarray) -> np.ndarray:
+        """For every state at the end of a chunk the state at its start on the path to it.
+
+        `row` has the best score of every state at the start, over the text before.
+        """
+        states = self.vocabulary.longest
+        words = self._words(points, size)
+        # All paths meet at the first word.
+        end = int(words[0]) if len(words) else size
+        score = np.full(end + 2 * states + 1, -np.inf)
+        length = np.zeros(len(score), np.int64)
+        origin = np.zeros(len(score), np.int32)
+        score[:states] = row
+        length[1:states] = np.where(row[1:] > -np.inf, states + 1, 0)  # a piece from before is the longest
+        origin[:states] = np.arange(states)
+        own = points[:end] if len(words) else points
+        if len(own):
+            _, weights = self._lattice(own, np.array([len(own)]))
+            for place in range(end):
+                if score[place] == -np.inf:
+                    continue
+                for k in np.flatnonzero(weights[:, place] > -np.inf).tolist():
+                    value, at = score[place] + weights[k, place], place + k + 1
+                    if value > score[at] or (value == score[at] and k + 1 > length[at]):
+                        score[at], length[at], origin[at] = value, k + 1, origin[place]
+        return np.full(states, origin[end], np.int32) if len(words) else origin[size : size + states]
+
     def _full(self, points: np.ndarray, size: int) -> np.ndarray:
         states = self.vocabulary.longest
         out = np.full((size + states + 1, states), -np.inf)
@@ -151,15 +194,55 @@ def combine(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return (one[:, :, None] + two[None, :, :]).max(1)
 
 
-def states(matrices: list[np.ndarray]) -> list[int]:
-    """The state before each chunk and after the last, on the best path from state 0 to state 0."""
-    before = [np.where(np.arange(len(matrices[0])) == 0, 0.0, -np.inf)]
-    for matrix in matrices:
-        before.append(combine(before[-1][None, :], matrix)[0])
-    path = [0]
-    for row, matrix in zip(reversed(before[:-1]), reversed(matrices), strict=True):
-        path.append(int(np.argmax(row + matrix[:, path[-1]])))
-    return path[::-1]
+def advance(row: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """The best scores of all states after a chunk, from those before it."""
+    return combine(row[None, :], matrix)[0]
+
+
+def folded(values: list[np.ndarray], product: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The product of all values in their order, neighbours first."""
+    while len(values) > 1:
+        pairs = [product(a, b) for a, b in zip(values[::2], values[1::2], strict=False)]
+        values = pairs + values[len(pairs) * 2 :]
+    return values[0]
+
+
+def scan(
+    elements: DataFrame, start: np.ndarray, shape: tuple[int, ...],
+    product: Callable[[np.ndarray, np.ndarray], np.ndarray], act: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    backward: bool = False, block: int = BLOCK,
+) -> DataFrame:
+    """n, part, state: what `start` has become before each part of n, if every part acts on it in turn.
+
+    `elements` has n, part and value, an array of `shape` as bytes. `product` is associative, and acting
+    by a product is acting by its factors. Blocks of parts are combined first, then the products of a
+    document's blocks are gone through (a text of 2 GB has 128), then each block's parts.
+    """
+
+    def in_order(group: pd.DataFrame, place: str) -> tuple[pd.DataFrame, list[np.ndarray]]:
+        group = group.sort_values(place, ascending=not backward)
+        return group, [np.frombuffer(x, start.dtype).reshape(shape) for x in group["value"]]
+
+    def whole(group: pd.DataFrame) -> pd.DataFrame:
+        group, values = in_order(group, "part")
+        return pd.DataFrame({"n": [group["n"].iloc[0]], "block": [group["block"].iloc[0]], "value": [folded(values, product).tobytes()]})
+
+    def states_before(place: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def run(group: pd.DataFrame) -> pd.DataFrame:
+            group, values = in_order(group, place)
+            state = np.frombuffer(group["state"].iloc[0], start.dtype) if "state" in group else start
+            states = []
+            for value in values:
+                states.append(state.tobytes())
+                state = act(state, value)
+            return pd.DataFrame({"n": group["n"], place: group[place], "state": states})
+
+        return run
+
+    parts = elements.withColumn("block", F.floor(F.col("part") / block).cast("int"))
+    blocks = parts.groupBy("n", "block").applyInPandas(whole, "n long, block int, value binary")
+    starts = blocks.groupBy("n").applyInPandas(states_before("block"), "n long, block int, state binary")
+    return parts.join(starts, ["n", "block"]).groupBy("n", "block").applyInPandas(states_before("part"), "n long, part int, state binary")
 
 
 def encode(docs: DataFrame, path: str = VOCABULARY, chunk: int = CHUNK, check: bool = False) -> DataFrame:
@@ -168,8 +251,8 @@ def encode(docs: DataFrame, path: str = VOCABULARY, chunk: int = CHUNK, check: b
     With `check` also `exact`, whether the pieces decode to the text (an empty one for null).
 
     Spaces become part of pieces, one more stands before the text; characters without a piece become
-    byte pieces. Of equally good segmentations one with longer pieces at the end is taken, in long
-    documents chunk by chunk. A null or empty text has no pieces. Rows need no ids; columns named like
+    byte pieces. Of equally good segmentations the one with longer pieces at the end is taken, whatever
+    `chunk` is. A null or empty text has no pieces. Rows need no ids; columns named like
     the results are replaced.
     """
     vocabulary = Vocabulary.load(path)
@@ -214,25 +297,35 @@ def encode(docs: DataFrame, path: str = VOCABULARY, chunk: int = CHUNK, check: b
             encoder.transfer(*points_of(text, part, size)).tobytes()
             for text, part, size in zip(*(batch.column(c).to_pylist() for c in ("text", "part", "size")), strict=True)
         ]
-        return batch.select(["n", "part"]).append_column("matrix", pa.array(out, pa.binary()))
+        return batch.select(["n", "part"]).append_column("value", pa.array(out, pa.binary()))
 
-    def path_of(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("part")
-        found = states([np.frombuffer(x).reshape(reach, reach) for x in group["matrix"]])
-        return pd.DataFrame({"n": group["n"], "part": group["part"], "enter": found[:-1], "leave": found[1:]})
+    def entered(batch: pa.RecordBatch) -> pa.RecordBatch:
+        encoder = Encoder(shared.value)
+        columns = (batch.column(c).to_pylist() for c in ("text", "part", "size", "state"))
+        out = [
+            encoder.entering(*points_of(text, part, size), np.frombuffer(state)).tobytes()
+            for text, part, size, state in zip(*columns, strict=True)
+        ]
+        return batch.select(["n", "part"]).append_column("value", pa.array(out, pa.binary()))
 
     def traced(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = Encoder(shared.value)
         out = []
-        columns = (batch.column(c).to_pylist() for c in ("text", "part", "size", "enter", "leave"))
-        for text, part, size, enter, leave in zip(*columns, strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("text", "part", "size", "value", "state"))
+        for text, part, size, value, state in zip(*columns, strict=True):
+            leave = int(np.frombuffer(state, np.int32)[0])
+            enter = int(np.frombuffer(value, np.int32)[leave])
             points, end = points_of(text, part, size)
             out.append(encoder.segment(points[enter : end + leave], np.array([end + leave - enter]))[0])
         return batch.select(["n", "part"]).append_column("ids", pa.array(out, pa.list_(pa.int32())))
 
-    by_chunk = arrow_map(chunks, matrices, "n long, part int, matrix binary")
-    paths = by_chunk.groupBy("n").applyInPandas(path_of, "n long, part int, enter int, leave int")
-    ids = arrow_map(chunks.join(paths, ["n", "part"]), traced, "n long, part int, ids array<int>")
+    by_chunk = materialize(arrow_map(chunks, matrices, "n long, part int, value binary"), "matrices")
+    begin = np.where(np.arange(reach) == 0, 0.0, -np.inf)
+    rows_before = scan(by_chunk, begin, (reach, reach), combine, advance)
+    maps = materialize(arrow_map(chunks.join(rows_before, ["n", "part"]), entered, "n long, part int, value binary"), "maps")
+    # From the end: the state after a chunk is the one that the next chunk's path enters by.
+    leaving = scan(maps, np.zeros(1, np.int32), (reach,), lambda later, own: own[later], lambda state, own: own[state], backward=True)
+    ids = arrow_map(chunks.join(maps, ["n", "part"]).join(leaving, ["n", "part"]), traced, "n long, part int, ids array<int>")
     pieces = ids.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("parts"))
     pieces = pieces.select("n", F.flatten(F.transform("parts", lambda x: x["ids"])).alias("pieces"))
     long_rows = giants.join(pieces, "n")

@@ -90,6 +90,40 @@ def test_redaction(spark):
     assert again.where(F.size("spans") > 0).count() == 0
 
 
+def test_texts_of_many_secrets(spark):
+    """More spans than one block, overlapping ones among them, and blocks that end within an overlap."""
+    rng = random.Random(4)
+    parts = ["AKIA" + "Q" * 16, "token=" + "ab12" * 10, "secret: abcdefgh", "é🙂 words", "token=" + "AKIA" + "Z" * 20]
+    texts = [" ".join(rng.choice(parts) for _ in range(size)) for size in (255, 256, 257, 700, 2000)]
+    rows = [(i, text, "en", "s", len(text), 0.0, "r") for i, text in enumerate(texts)]
+    found = {r.doc_id: r.spans for r in secrets.scan_secrets(frame(spark, rows)).collect()}
+    clean = {r.doc_id: r for r in secrets.redact(frame(spark, rows)).collect()}
+    for i, text in enumerate(texts):
+        expected = sorted(
+            (m.start(), kind, m.end(), rule.kind) for kind, rule in enumerate(secrets.RULES)
+            for m in re.finditer(rule.pattern.removeprefix("(?i)"), text, re.ASCII | (re.IGNORECASE if rule.pattern.startswith("(?i)") else 0))
+            if len(m.group(rule.value)) >= rule.at_least
+        )
+        assert [tuple(s) for s in found[i]] == expected
+        out, at = "", 0
+        for start, _, end, _ in expected:
+            if start >= at:
+                out += text[at:start] + secrets.PLACEHOLDER
+            at = max(at, end)
+        assert clean[i].text == out + text[at:] and clean[i].n_chars == len(clean[i].text)
+
+
+def test_redaction_of_nothing(spark):
+    assert secrets.redact(frame(spark, [])).count() == 0
+
+
+def test_running_values(spark):
+    sizes = spark.createDataFrame([(list(range(n)),) for n in (0, 1, 255, 256, 257, 1000)], "v array<int>")
+    for v, sums, most in sizes.select("v", secrets.running(F.col("v"), lambda a, b: a + b), secrets.running(F.col("v"), F.greatest)).collect():
+        assert sums == [sum(v[:i]) for i in range(len(v) + 1)]
+        assert most == [max([0, *v[:i]]) for i in range(len(v) + 1)]
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("[0-9a-f]{32,}") == []
     assert secrets.trigram_query("AKIA[A-Z0-9]+") == [frozenset({frozenset({"aki", "kia"})})]
@@ -109,14 +143,51 @@ def test_pieces_decode_to_the_text(spark, chunk):
     assert Counter((r.doc_id, r.text) for r in both) == Counter((i, t) for i, t, *_ in rows)
 
 
-def test_chunks_give_equally_good_pieces(spark):
-    vocabulary = Vocabulary.load(subword.VOCABULARY)
-    score = dict(zip(vocabulary.ids.tolist(), vocabulary.scores.tolist(), strict=True))
-    rows = [row for row in documents() if row[1]]
-    total = lambda pieces: (sum(score.get(i, 0.0) for i in pieces), sum(i not in score for i in pieces))
-    whole = {(r.doc_id, r.text): total(r.pieces) for r in subword.encode(frame(spark, rows)).collect()}
-    for row in subword.encode(frame(spark, rows), chunk=5).collect():
-        assert total(row.pieces) == whole[(row.doc_id, row.text)]
+def test_chunks_give_the_same_pieces(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = frame(spark).select("doc_id", "text").union(table).union(spark.createDataFrame([(-1, "ab" * 500), (-2, " a" * 300 + " " * 50)], table.schema))
+    pieces = lambda chunk: Counter((r.doc_id, r.text, tuple(r.pieces)) for r in subword.encode(docs, chunk=chunk).collect())
+    whole = pieces(subword.CHUNK)
+    for chunk in (5, 64, 256):
+        assert pieces(chunk) == whole
+
+
+def test_ties_are_settled_as_in_one_piece():
+    """Many segmentations are equally good; chunks, entered and left by their states, give the pieces of the whole."""
+    rng = random.Random(5)
+    vocabulary = small_vocabulary()
+    for cut_at_spaces in (True, False):
+        vocabulary.cut_at_spaces = cut_at_spaces
+        vocabulary.scores = np.where(np.arange(len(PIECES)) % 3 == 0, -2.0, -1.0) * np.array([len(piece) for piece in PIECES])
+        encoder, reach = subword.Encoder(vocabulary), vocabulary.longest
+        for _ in range(60):
+            points, sizes = subword.code_points(["".join(rng.choice("aabbc  d") for _ in range(rng.randint(1, 60)))])
+            cuts = sorted({0, len(points), *(rng.randint(0, len(points)) for _ in range(4))})
+            parts = [(points[a : b + reach], b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+            row, rows = np.where(np.arange(reach) == 0, 0.0, -np.inf), []
+            for part in parts:
+                rows.append(row)
+                row = subword.advance(row, encoder.transfer(*part))
+            leave, ids = 0, []
+            for (own, size), before in reversed(list(zip(parts, rows, strict=True))):
+                enter = int(encoder.entering(own, size, before)[leave])
+                ids[:0] = encoder.segment(own[enter : size + leave], np.array([size + leave - enter]))[0].tolist()
+                leave = enter
+            assert leave == 0 and ids == encoder.segment(points, sizes)[0].tolist()
+
+
+@pytest.mark.parametrize("backward", [False, True])
+def test_scan_in_blocks(spark, backward):
+    rng = np.random.default_rng(2)
+    maps = {(n, part): rng.permutation(4).astype(np.int32) for n, size in ((1, 1), (2, 23), (3, 6)) for part in range(size)}
+    elements = spark.createDataFrame([(n, part, bytearray(m.tobytes())) for (n, part), m in maps.items()], "n long, part int, value binary")
+    found = subword.scan(elements, np.zeros(1, np.int32), (4,), lambda a, b: b[a], lambda state, own: own[state], backward, block=4)
+    got = {(r.n, r.part): int(np.frombuffer(r.state, np.int32)[0]) for r in found.collect()}
+    expected, last = {}, {}
+    for n, part in sorted(maps, reverse=backward):
+        expected[n, part] = last.get(n, 0)
+        last[n] = int(maps[n, part][expected[n, part]])
+    assert got == expected
 
 
 def best_score(text, table, fallback):
