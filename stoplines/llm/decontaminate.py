@@ -1,10 +1,10 @@
 """Benchmark decontamination with suffix arrays of the training texts.
 
 Every Arrow batch of documents is a shard. A task builds the shard's suffix array over words and
-binary-searches every suffix of the benchmark items in it. That gives each suffix's longest
-verbatim match, measured up to four windows (52 words), and, where it reaches a whole window, all
-its locations. Lengths and locations serve to mark the words that are hit and are not returned. A
-document never leaves its shard, so nothing is shuffled; a lost task builds its shards again.
+binary-searches every suffix of the benchmark items in it. Where a suffix's match reaches a whole
+window, all its locations are read off the array; locations of suffixes that follow each other in an
+item and in a document are one verbatim match, which so gets its full length. A document
+never leaves its shard, so nothing is shuffled; a lost task builds its shards again.
 
 The benchmark is looked up in blocks of at most BLOCK_WORDS words (or one item), each broadcast in
 its turn, so that what is broadcast stays bounded however many items there are.
@@ -25,6 +25,7 @@ from stoplines.llm.common import arrow_map, string_buffer
 
 WINDOW = 13
 BLOCK_WORDS = 1 << 18
+MATCHES = "array<struct<start:int,item_id:string,item_start:int,length:int>>"
 ONE_IN = 20  # a document is contaminated if one in so many words is hit
 
 
@@ -45,10 +46,11 @@ class Items:
         self.vocabulary = np.unique(hashes)
         numbers = np.searchsorted(self.vocabulary, hashes) + 1
         self.item = np.repeat(np.arange(len(ids)), lengths)
+        self.place = np.arange(len(hashes)) - np.repeat(places[:-1], lengths)  # the suffix's first word in its item
         left = np.repeat(places[1:], lengths) - np.arange(len(hashes))  # words up to the item's end
         need = np.minimum(window, np.repeat(lengths, lengths))
         self.need = np.where(left >= need, need, np.iinfo(np.int32).max)  # no window starts near the end
-        self.depth = int(min(left.max(initial=1), 4 * window))
+        self.depth = int(min(left.max(initial=1), window))
         columns = np.arange(len(hashes))[:, None] + np.arange(self.depth)
         padded = np.concatenate((numbers, np.zeros(self.depth, np.int64)))
         self.suffixes = np.where(np.arange(self.depth) < left[:, None], padded[columns], 0).astype(np.int32)
@@ -123,43 +125,51 @@ def _search(text: np.ndarray, array: np.ndarray, suffixes: np.ndarray, lengths:
     return low
 
 
-def matches(text: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All places of windows in the shard's numbers: place, length, item; and each suffix's longest match."""
+def windows(text: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """All places of windows in the shard's numbers, and the suffixes that begin with them."""
     array = suffix_array(text, items.depth, len(items.vocabulary))
     none = np.empty(0, np.int64)
-    longest = np.zeros(len(items.suffixes), np.int64)
-    if not len(array) or not len(items.suffixes):
-        return none, none, none, longest
+    own = np.flatnonzero(items.need <= items.depth)
+    if not len(array) or not len(own):
+        return none, none
     padded = np.concatenate((text, np.zeros(items.depth, text.dtype)))
-    whole = np.full(len(items.suffixes), items.depth)
-    at = _search(padded, array, items.suffixes, whole, after=False)
-    for neighbour in (at - 1, at):
-        there = padded[array[np.clip(neighbour, 0, len(array) - 1)][:, None] + np.arange(items.depth)]
-        equal = (there == items.suffixes) & (items.suffixes > 0)
-        longest = np.maximum(longest, np.cumprod(equal, axis=1).sum(1))
-    found = np.flatnonzero(longest >= items.need)
-    # Equal windows of several items have the same places, each looked up once.
-    low = _search(padded, array, items.suffixes[found], items.need[found], after=False)
-    high = _search(padded, array, items.suffixes[found], items.need[found], after=True)
+    low = _search(padded, array, items.suffixes[own], items.need[own], after=False)
+    # Whether the neighbour there has the whole window: most suffixes end here.
+    there = padded[array[np.minimum(low, len(array) - 1)][:, None] + np.arange(items.depth)]
+    equal = (there == items.suffixes[own]) | (np.arange(items.depth) >= items.need[own][:, None])
+    found = (low < len(array)) & equal.all(1)
+    own, low = own[found], low[found]
+    high = _search(padded, array, items.suffixes[own], items.need[own], after=True)
     counts = high - low
-    owner = np.repeat(found, counts)
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return array[np.repeat(low, counts) + within], items.need[owner], items.item[owner], longest
+    return array[np.repeat(low, counts) + within], np.repeat(own, counts)
+
+
+def longest(place: np.ndarray, suffix: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The verbatim matches that the windows are part of, none of which goes on at either side: place, suffix, length."""
+    order = np.lexsort((place, place - suffix))
+    place, suffix = place[order], suffix[order]
+    fresh = np.ones(len(place), bool)
+    fresh[1:] = (np.diff(place) != 1) | (np.diff(suffix) != 1) | (np.diff(items.item[suffix]) != 0)
+    first = np.flatnonzero(fresh)
+    last = np.flatnonzero(np.append(fresh[1:], True)) if len(place) else first
+    return place[first], suffix[first], place[last] + items.need[suffix[last]] - place[first]
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Where windows of the items occur in the documents.
 
     Adds to `docs` (any columns, with `text`): n_words, n_hit, hits (start and end word of each
-    maximal hit stretch, one after the other) and items (ids of items with an occurring window, as
-    text, sorted). Words are lower-cased runs of a-z, 0-9 and characters beyond ASCII; a window is
+    maximal hit stretch, one after the other), items (ids of items with an occurring window, as
+    text, sorted) and matches: the longest verbatim matches of at least a window, each with its item,
+    its first word in the item and in the document, and its length, in words; by place, then item. Words are lower-cased runs of a-z, 0-9 and characters beyond ASCII; a window is
     `window` consecutive words of an item, a shorter item is one window.
 
     Null or empty texts have no words and no hits; items without words have no window; a null item
     id is the empty text; several items of one id count as one. Rows are judged one by one, so that
     null or repeated document ids change nothing. Columns of `docs` named like the results are replaced.
     """
-    results = ["n_words", "n_hit", "hits", "items"]
+    results = ["n_words", "n_hit", "hits", "items", "matches"]
     docs = docs.drop(*results)
     kept = [field for field in docs.schema if field.name != "text"]
     own = items.select(
@@ -173,6 +183,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         F.struct(*[F.col(f"`{field.name}`") for field in kept]).alias("row"), "text",
         F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"),
+        F.array().cast(MATCHES).alias("matches"),
     )
     schema = frame.schema
     for block in range(blocks):
@@ -197,7 +208,7 @@ def _shard(batch: pa.RecordBatch, items: Items) -> pa.RecordBatch:
     at = np.arange(len(hashes)) + np.repeat(np.arange(n), counts)
     text[at] = items.numbers(hashes)
     begins = places[:-1] + np.arange(n)
-    place, length, item, _ = matches(text, items)
+    place, suffix, length = longest(*windows(text, items), items)
     hit = H.covered(place, place + length, len(text))
     before = batch.column("hits")
     if before.flatten().__len__():
@@ -211,14 +222,22 @@ def _shard(batch: pa.RecordBatch, items: Items) -> pa.RecordBatch:
     hits = pa.ListArray.from_arrays(
         pa.array(np.concatenate(([0], np.cumsum(2 * per_doc))), pa.int32()), pa.array(spans.reshape(-1))
     )
-    pairs = np.unique(np.stack((np.searchsorted(begins, place, "right") - 1, item), 1), axis=0) if len(place) else np.empty((0, 2), np.int64)
+    found = batch.column("matches").to_pylist()
+    doc = np.searchsorted(begins, place, "right") - 1
+    own = zip(doc, place - begins[doc], items.item[suffix], items.place[suffix], length, strict=True)
+    touched: dict[int, set[tuple]] = {}
+    for i, start, item, item_start, size in own:
+        touched.setdefault(int(i), set()).add((int(start), items.names[item], int(item_start), int(size)))
     names = batch.column("items").to_pylist()
-    for doc, which in pairs:
-        names[doc].append(items.names[which])
+    for i, new in touched.items():
+        found[i] = sorted(new | {tuple(match.values()) for match in found[i]})
+        names[i] = sorted({name for _, name, _, _ in found[i]})
+        found[i] = [dict(zip(("start", "item_id", "item_start", "length"), match, strict=True)) for match in found[i]]
+    kind = pa.struct([("start", pa.int32()), ("item_id", pa.string()), ("item_start", pa.int32()), ("length", pa.int32())])
     columns = {
         "row": batch.column("row"), "text": batch.column("text"), "n_words": pa.array(counts, pa.int64()),
         "n_hit": pa.array(np.bincount(owner, weights=ends - starts, minlength=n).astype(np.int64)),
-        "hits": hits, "items": pa.array([sorted(set(x)) for x in names], pa.list_(pa.string())),
+        "hits": hits, "items": pa.array(names, pa.list_(pa.string())), "matches": pa.array(found, pa.list_(kind)),
     }
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 

@@ -46,6 +46,33 @@ def test_decontamination(spark, window, block):
     assert all(sum(b - a for a, b in zip(r.hits[::2], r.hits[1::2])) == r.n_hit for r in found.collect())
 
 
+@pytest.mark.parametrize("block", [1 << 18, 40])
+def test_longest_matches_and_their_places(spark, block):
+    """Matches are measured to their ends, beyond many windows, and have all their places."""
+    words = [f"w{i}" for i in range(400)]
+    items = {"long": words[100:300], "short": ["q1", "q2"], "twice": words[120:140] + ["x"] + words[120:140], "none": ["zz"] * 13}
+    texts = [
+        words, words[90:180] + ["q1", "q2", "q1"] + words[180:205], words[120:133] * 2, ["q1", "q2", "q1", "q2"], words[120:132], ["zz"] * 15, [],
+    ]
+    rows = [(i, " ".join(text), "en", "s", 1, 0.0, "r") for i, text in enumerate(texts)]
+    found = decontaminate.find_contamination(
+        frame(spark, rows), spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id string, text string"), block_words=block
+    )
+    for row in found.collect():
+        text, expected = texts[row.doc_id], []
+        for name, item in items.items():
+            for i in range(len(text)):
+                for j in range(len(item)):
+                    if text[i] == item[j] and not (i and j and text[i - 1] == item[j - 1]):
+                        n = 0
+                        while i + n < len(text) and j + n < len(item) and text[i + n] == item[j + n]:
+                            n += 1
+                        if n >= min(13, len(item)):
+                            expected.append((i, name, j, n))
+        assert [tuple(match) for match in row.matches] == sorted(expected)
+        assert row["items"] == sorted({match[1] for match in expected})
+
+
 def test_decontamination_of_nothing(spark):
     items = spark.createDataFrame([], "item_id string, text string")
     assert decontaminate.remove_contaminated(frame(spark), items).count() == len(documents())
