@@ -7,6 +7,7 @@ the piece that starts at every place; then all texts advance together, place by
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -55,6 +56,14 @@ class Vocabulary:
         self.cut_at_spaces = not any(chr(SPACE) in piece.lstrip(chr(SPACE)) for piece in self.pieces)
         self.fallback = float(self.scores.min() - 10) if len(self.scores) else -10.0
 
+    @cached_property
+    def spelled(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that every id stands for, one after the other, and how many each has."""
+        table = {int(i): piece.replace(chr(SPACE), " ").encode() for i, piece in zip(self.ids, self.pieces, strict=True)}
+        table |= {int(i): bytes([value]) for value, i in enumerate(self.byte_ids)}
+        texts = [table.get(i, b"") for i in range(max(table) + 1)]
+        return np.frombuffer(b"".join(texts), np.uint8), np.array([len(x) for x in texts])
+
     def starting(self, points: np.ndarray, room: np.ndarray) -> np.ndarray:
         """[longest, n]: number of the piece of each length at each place, -1 for none; `room` is left up to the text's end."""
         n = len(points)

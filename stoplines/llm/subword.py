@@ -38,7 +38,7 @@ from stoplines.storage import materialize
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 16
 LETTERS = 1 << 15  # characters in one lattice
-SLICE = 1 << 20  # bytes of text whose words are segmented together
+SLICE = 1 << 21  # bytes of text whose words are segmented together
 BLOCK = 256  # chunks of a document whose matrices or maps one task combines
 EXACT = 1 << 20  # scores are multiples of 1 / EXACT
 
@@ -336,12 +336,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY, chunk: int = CHUNK, check: b
 
 def decoded(pieces: pa.Array, vocabulary: Vocabulary) -> pa.Array:
     """The texts of the lists of ids; null lists are null."""
-    table: dict[int, bytes] = {int(i): piece.replace(chr(SPACE), " ").encode() for i, piece in zip(vocabulary.ids, vocabulary.pieces, strict=True)}
-    table |= {int(i): bytes([value]) for value, i in enumerate(vocabulary.byte_ids)}
-    size = max(table) + 1
-    spelled = [table.get(i, b"") for i in range(size)]
-    width = np.array([len(x) for x in spelled])
-    flat = np.frombuffer(b"".join(spelled), np.uint8)
+    flat, width = vocabulary.spelled
     begin = np.cumsum(width) - width
     ids = pieces.flatten().to_numpy()
     each = width[ids]
