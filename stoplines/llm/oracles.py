@@ -1,5 +1,7 @@
 """SQL counterparts, for DuckDB, of the queries that SQL can express."""
 
+from stoplines.llm.secrets import RULES, Rule
+
 # Words of lower-cased texts, with their places.
 OP7 = r"""
 WITH doc AS (
@@ -127,10 +129,38 @@ FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang JOIN last l
 LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.first = p.place, root
 """
 
+
+
+def _matches(order: int, rule: Rule) -> str:
+    """One row for each match of a rule: what stands before it, the match, and the value that must be long enough."""
+    pattern = rule.pattern.replace("'", "''")
+    every = f"regexp_extract_all(t, '{pattern}', 0)"
+    return f"""
+  SELECT doc_id, {order} AS k, '{rule.kind}' AS kind, {rule.at_least} AS least, unnest({every}) AS m,
+    unnest(regexp_extract_all(t, '{pattern}', {rule.value})) AS v, unnest(string_split_regex(t, '{pattern}')[1 : len({every})]) AS gap,
+    unnest(range(len({every}))) AS i FROM doc WHERE regexp_matches(t, '{pattern}')"""
+
+
+# Matches of each rule, and their places from the lengths of all that stands before.
+OP10 = f"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(_matches(order, rule) for order, rule in enumerate(RULES))}),
+placed AS (SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY i) AS BIGINT) AS e FROM found),
+spans AS (SELECT doc_id, k, kind, e - length(m) AS s, kind || ':' || (e - length(m)) || ':' || e AS span FROM placed WHERE length(v) >= least),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c, count(*) FILTER (kind = 'hex') AS h,
+    string_agg(span, ',' ORDER BY s, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY s, k) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(c, 0) AS BIGINT) AS n_access, CAST(coalesce(h, 0) AS BIGINT) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN listed USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_spherical_cells": OP2,
     "op3_minhash_near_duplicates": OP3,
     "op5_super_kmer_repeats": OP5,
     "op7_suffix_array_decontamination": OP7,
+    "op10_trigram_secrets": OP10,
     "op11_persistent_merkle_manifest": OP11,
 }
