@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as app
 from stoplines.operators import delays, graph, merge, stations
 from stoplines.plans.ingest import FACT_SCHEMA, archive_names, with_position
-from stoplines.sources.feed import stop_changes
+from stoplines.sources.archives import read_archives
+from stoplines.sources.feed import one_per_document, parse_documents, planned_stops, stop_by_stop, stop_changes
 from stoplines.sources.tables import read_table, write_by_day
 
 FOLDER = app.SMOKE_DIR
@@ -47,6 +48,27 @@ def test_documents_are_parsed_once(spark):
     assert text.count("from_xml(") == 1
 
 
+def test_documents_are_stored_stop_by_stop(spark, small, delivery):
+    """A row with all stops of a document took memory by the number of documents in a file."""
+    for kind, folder in (("planned", "timetables"), ("changed", "changes")):
+        stored = getattr(small, f"staging/{kind}_docs")
+        assert "array" not in stored.schema.simpleString()
+        docs = parse_documents(read_archives(spark, f"{delivery}/{folder}"))
+        assert stored.filter("s IS NOT NULL").count() == docs.agg(F.sum(F.size("stops"))).first()[0]
+        assert one_per_document(stored).count() == docs.count()
+
+
+def test_documents_without_stops_are_kept(spark):
+    raw = [("a", seq, f"250902_0700/{seq}.xml", text, None) for seq, text in enumerate(
+        ['<timetable station="A"/>', "<timetable><s", '<timetable station="B"><s id="1"/><s id="2"/></timetable>'])]
+    docs = parse_documents(spark.createDataFrame(raw, "archive string, seq long, member string, xml string, error string"))
+    rows = stop_by_stop(docs)
+    assert {(r.seq, r.pos) for r in rows.collect()} == {(0, None), (1, None), (2, 0), (2, 1)}
+    known = [c for c in docs.columns if c != "stops"]
+    assert sorted(map(str, one_per_document(rows).collect())) == sorted(map(str, docs.select(*known).collect()))
+    assert planned_stops(rows).count() == planned_stops(docs).count() == 2
+
+
 def test_first_row_is_taken_before_the_shuffle(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     text = physical(merge.keep_first(lines, ["l_orderkey"], ["l_shipdate"]))
