@@ -1,6 +1,7 @@
 """What the planner makes of the operators."""
 
 import re
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as app
 from stoplines.operators import delays, graph, merge, stations
+from stoplines.plans import table_feed
 from stoplines.plans.ingest import FACT_SCHEMA, archive_names, with_position
 from stoplines.sources.archives import read_archives
 from stoplines.sources.feed import one_per_document, parse_documents, planned_stops, stop_by_stop, stop_changes
@@ -69,6 +71,23 @@ def test_documents_without_stops_are_kept(spark):
     assert planned_stops(rows).count() == planned_stops(docs).count() == 2
 
 
+def test_feed_shuffles_and_sorts_rows_not_text(spark, monkeypatch):
+    rows = table_feed.feed_rows(spark, FOLDER)
+    text = physical(table_feed.stops_in_order(rows, table_feed.planned_xml()))
+    assert text.rindex("</s>") < text.index("Sort ") < text.index("Exchange")
+    assert "collect_list" not in physical(table_feed.documents(rows, table_feed.planned_xml()))
+    monkeypatch.setattr(table_feed, "STOPS_PER_TASK", 500)
+    assert table_feed.stops_in_order(rows, table_feed.planned_xml()).rdd.getNumPartitions() == -(-rows.count() // 500)
+
+
+def test_only_the_parts_of_the_feed_that_are_read_are_written(spark, monkeypatch):
+    monkeypatch.setattr(table_feed, "_FEEDS", {})
+    folder = Path(table_feed.table_feed(spark, FOLDER, parts=("stations",)).removeprefix("file:"))
+    assert [path.name for path in folder.iterdir()] == ["stations"]
+    assert table_feed.table_feed(spark, FOLDER).removeprefix("file:") == str(folder)
+    assert sorted(path.name for path in folder.iterdir()) == sorted(table_feed.PARTS)
+
+
 def test_first_row_is_taken_before_the_shuffle(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     text = physical(merge.keep_first(lines, ["l_orderkey"], ["l_shipdate"]))
