@@ -115,8 +115,8 @@ def _outside(value: Column, low: Column, high: Column) -> Column:
 
 
 def _across(value: Column, low: Column, high: Column) -> Column:
-    """Distance of a value to the far end of an interval."""
-    return F.greatest(F.abs(value - low), F.abs(high - value))
+    """Squared distance of a value to the far end of an interval."""
+    return F.greatest(_square(value - low), _square(high - value))
 
 
 def nearest_batch(
@@ -133,9 +133,9 @@ def nearest_batch(
 
     The points form a tree of tiles. Queries go down level by level, an equi-join on the tile
     number each. At every level a query keeps the tiles that can hold its nearest point: those
-    not farther away than the far side of the best tile. A row is a (query, tile) pair, never
-    a (query, point) pair, and the tiles of a level are unique, so a place that many queries
-    share is split by the skew join or meets a broadcast level.
+    not farther away than the far side of the best tile. A row that is joined, shuffled or stored is a
+    (query, tile) pair, never a (query, point) pair, and the tiles of a level are unique, so a place that many
+    queries share is split by the skew join or meets a broadcast level.
     """
     tiles = _tiles(_located(points, key, lat, lon))
     id_type = points.schema[key].dataType
@@ -148,48 +148,40 @@ def nearest_batch(
         F.when(F.col("lat").isNotNull(), F.lit(0)).cast("bigint").alias("node"),
         F.lit(float("inf")).alias("bound"),
     )
-    # Spread by query before the costly part; where tiles are broadcast, the final
-    # aggregation then needs no shuffle of its own.
+    # Spread by query before the costly part.
     spread = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     todo = todo.repartition(spread, "query")
     y, x = F.col("lat"), F.col("lon")
-    for level in reversed(tiles[1:]):
-        def near(tile: Column) -> Column:
-            return _square(_outside(y, tile["south"], tile["north"])) + _square(
-                _outside(x, tile["west"], tile["east"])
-            )
 
-        def far(tile: Column) -> Column:
-            return _square(_across(y, tile["south"], tile["north"])) + _square(
-                _across(x, tile["west"], tile["east"])
-            )
+    # Functions of arrays are interpreted entry by entry, so only the bound is taken that way; all else is done on
+    # rows, one per entry, that exist within a task only.
+    def far(tile: Column) -> Column:
+        return _across(y, tile["south"], tile["north"]) + _across(x, tile["west"], tile["east"])
 
+    for level in reversed(tiles[1:]):
         met = todo.join(level.select("node", "entries"), "node")
-        bounded = met.withColumn(
-            "bound", F.least("bound", F.array_min(F.transform("entries", far)))
-        )
-        todo = bounded.select(
-            "query", "lat", "lon", "bound",
-            F.explode(
-                F.transform(
-                    F.filter("entries", lambda tile: near(tile) <= F.col("bound")),
-                    lambda tile: tile["node"],
-                )
-            ).alias("node"),
-        )
-    closest = F.array_min(
-        F.transform(
-            "entries",
-            lambda p: F.struct(
-                (_square(y - p["lat"]) + _square(x - p["lon"])).alias("distance"), p["key"].alias("key")
-            ),
-        )
-    )
+        bounded = met.withColumn("bound", F.least("bound", F.array_min(F.transform("entries", far))))
+        tile = F.col("tile")
+        near = _square(_outside(y, tile["south"], tile["north"])) + _square(_outside(x, tile["west"], tile["east"]))
+        entries = bounded.select("query", "lat", "lon", "bound", F.explode("entries").alias("tile"))
+        todo = entries.filter(near <= F.col("bound")).select("query", "lat", "lon", "bound", tile["node"].alias("node"))
+    # Stored, since it is read twice: for the least distance of each query, a number that is
+    # aggregated by hashing, and for the points that lie at this distance.
+    visits = materialize(todo.select("query", "lat", "lon", "node"), "visits")
+
+    def measured(rows: DataFrame, *keep: str) -> DataFrame:
+        met = rows.join(tiles[0].select("node", "entries"), "node")
+        points = met.select("query", "lat", "lon", *keep, F.explode("entries").alias("p"))
+        distance = _square(y - F.col("p.lat")) + _square(x - F.col("p.lon"))
+        return points.select("query", *keep, distance.alias("distance"), F.col("p.key").alias("key"))
+
+    least = measured(visits).groupBy(F.col("query").alias("_query")).agg(F.min("distance").alias("least"))
+    known = visits.join(least, F.col("query").eqNullSafe(F.col("_query")))
     best = (
-        todo.join(tiles[0].select("node", "entries"), "node")
-        .select("query", closest.alias("closest"))
+        measured(known, "least")
+        .filter(F.col("distance") == F.col("least"))
         .groupBy("query")
-        .agg(F.min("closest").alias("closest"))
+        .agg(F.min(F.struct("distance", "key")).alias("closest"))
     )
     found = best.select(
         F.col("query").alias(query_key),

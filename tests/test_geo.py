@@ -39,6 +39,22 @@ def test_nearest_batch(spark, monkeypatch, fanout, spread):
     assert len(found) == len(queries)
 
 
+def test_points_are_measured_row_by_row(spark):
+    """Functions of arrays are interpreted entry by entry: the points of a tile are no longer measured by them."""
+    points = spark.createDataFrame([(i, 52 + i / 7, 13.0) for i in range(200)], POINTS)
+    found = geo.nearest_batch(spark.createDataFrame([(1, 53.0, 2.0), (None, 60.0, 2.0), (2, 70.0, 1.0)], QUERIES), points, "q")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "Generate explode(entries" in plan
+    assert {r.q: r.station_eva for r in found.collect()} == {1: 7, None: 56, 2: 126}
+
+
+def test_equally_near_points(spark):
+    """Four points at the same distance of all queries: the smallest key, whatever its tile."""
+    points = spark.createDataFrame([(9, 1.0, 0.0), (4, -1.0, 0.0), (7, 0.0, 1.0), (5, 0.0, -1.0)], POINTS)
+    queries = spark.createDataFrame([(q, 0.0, 0.0) for q in range(3)], QUERIES)
+    assert {tuple(r) for r in geo.nearest_batch(queries, points, "q").collect()} == {(q, 4, 1.0) for q in range(3)}
+
+
 def test_no_points(spark):
     found = geo.nearest_batch(
         spark.createDataFrame([(1, 1.0, 2.0)], QUERIES), spark.createDataFrame([], POINTS), "q"
