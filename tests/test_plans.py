@@ -13,6 +13,7 @@ from stoplines.plans import table_feed
 from stoplines.plans.ingest import FACT_SCHEMA, archive_names, with_position
 from stoplines.sources.archives import read_archives
 from stoplines.sources.feed import one_per_document, parse_documents, planned_stops, stop_by_stop, stop_changes
+from stoplines.sources import tables
 from stoplines.sources.tables import read_table, write_by_day
 
 FOLDER = app.SMOKE_DIR
@@ -178,6 +179,18 @@ def test_days_are_written_by_several_tasks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 400
 
 
+def test_tasks_that_write_days_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    """Few days with many rows, and one with a third of all: no task sorts more than its share and one file."""
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 1_000)
+    day = F.when(F.col("id") % 3 > 0, F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 7).cast("int")))
+    write_by_day(spark.range(30_000).withColumn("day", day), "day", str(tmp_path / "t"), rows_per_file=500)
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert stored.count() == 30_000 and stored.filter("day IS NULL").count() == 10_000
+    file = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    sizes = [r["count"] for r in stored.groupBy(F.split(file, "-")[1].alias("task")).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 2_000
+
+
 def test_rows_are_evaluated_once_and_clustered(spark, tmp_path):
     """A sink reads its input once; a reader of one station skips the row groups of others."""
     seen = spark.sparkContext.accumulator(0)
