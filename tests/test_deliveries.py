@@ -8,7 +8,9 @@ from pathlib import Path
 import pytest
 
 from stoplines.operators.merge import merge_changes, merge_facts
+from stoplines.plans import ingest
 from stoplines.plans.ingest import FACT_COLUMNS, run_ingest
+from stoplines.sources import tables
 from tests.conftest import CHANGED, PLANNED, STATIONS, Snapshot, stop, timetable, write_archive
 
 ALEX = "Berlin Alexanderplatz"
@@ -94,6 +96,20 @@ def test_deliveries_in_any_order_as_snapshots(spark, tmp_path, once):
     assert [r.stop_id for r in second.pending_changes.collect()] == ["99-2509021500-1"]
 
 
+def test_tasks_of_a_delivery_grow_with_its_stops(spark, tmp_path, once, monkeypatch):
+    """The first plans and the changes are dealt over as many tasks as their rows need."""
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 1)
+    tasks = []
+    for name in ("keep_first", "change_state"):
+        original = getattr(ingest, name)
+        monkeypatch.setattr(ingest, name, lambda *given, f=original: tasks.append(given[-1]) or f(*given))
+    snapshot = deliver(spark, tmp_path, WEEKS, "all")
+    stored = [spark.read.parquet(f"{snapshot.folder}/staging/{name}") for name in ("planned_stops", "changed_docs")]
+    wanted = [stored[0].filter("stop_id IS NOT NULL").count(), stored[1].count()]
+    assert tasks == [max(n, spark.sparkContext.defaultParallelism) for n in wanted] and max(wanted) == max(tasks)
+    assert facts(snapshot, snapshot.fact_train_stops) == once
+
+
 def test_untouched_days_keep_their_files(spark, tmp_path):
     store = str(tmp_path / "store")
     first = deliver(spark, tmp_path, list(WEEKS)[:1], "first", store=store)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as app
 from stoplines.operators import delays, graph, merge, stations
 from stoplines.plans import table_feed
-from stoplines.plans.ingest import FACT_SCHEMA, archive_names, with_position
+from stoplines.plans.ingest import FACT_SCHEMA, archive_names, change_state, with_position
 from stoplines.sources.archives import read_archives
 from stoplines.sources.feed import one_per_document, parse_documents, planned_stops, stop_by_stop, stop_changes
 from stoplines.sources import tables
@@ -95,6 +95,43 @@ def test_first_row_is_taken_before_the_shuffle(spark):
     assert re.search(r"Final.*Exchange hashpartitioning\(l_orderkey.*Partial", text, re.S)
 
 
+def test_first_row_is_taken_by_as_many_tasks_as_the_rows_need(spark):
+    """A part of a stored table may have far more rows than a task can sort: they are dealt out before the first sort."""
+    rows = spark.range(20_000).coalesce(1).select((F.col("id") % 7_000).alias("k"), "id", F.lit("x").alias("text"))
+    rows = rows.withColumn("k", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("k")))
+    first = merge.keep_first(rows, ["k"], ["id"], 20)
+    text = physical(first)
+    assert re.search(r"Sort.*Exchange hashpartitioning\(k.*, 20\).*Sort.*Exchange hashpartitioning\(k.*_draw.*, 20\)", text, re.S)
+    assert text.count("Exchange") == 2
+    plain = merge.keep_first(rows, ["k"], ["id"])
+    assert first.columns == plain.columns and sorted(first.collect()) == sorted(plain.collect())
+    # The key with a third of the rows meets in no task whole.
+    dealt = merge.dealt(rows, 20, ["k"]).filter("k = -1").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in dealt.collect()) < 20_000 / 6
+
+
+def test_changes_are_folded_by_as_many_tasks_as_they_need(spark):
+    time = F.lit("2025-09-02 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") % 90).cast("int"))
+    changes = spark.range(5_000).coalesce(1).select(
+        (F.col("id") % 900).cast("string").alias("stop_id"), time.alias("new_arrival"),
+        F.when(F.col("id") % 2 == 0, time).alias("new_departure"), (F.col("id") % 5 == 0).alias("cancelled"),
+        F.concat(F.lit("a"), F.col("id") % 3).alias("archive"), "id", F.lit(0).alias("pos"),
+    ).withColumnRenamed("id", "seq")
+    state = change_state(changes, archive_names(changes), 30)
+    assert re.search(r"partial_max_by.*Exchange hashpartitioning\(_draw#\d+, 30\)", physical(state), re.S)
+    assert sorted(state.collect(), key=repr) == sorted(change_state(changes, archive_names(changes)).collect(), key=repr)
+
+
+def test_archives_are_dealt_evenly(spark, monkeypatch):
+    """By the hash of their names several large archives would meet in one task."""
+    monkeypatch.setattr(table_feed, "STOPS_PER_TASK", 500)
+    rows = table_feed.feed_rows(spark, FOLDER)
+    dealt = table_feed.stops_in_order(rows, table_feed.planned_xml())
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    archive = max(r["count"] for r in rows.groupBy("archive").count().collect())
+    assert sum(sizes) == rows.count() and max(sizes) <= 500 + archive
+
+
 def test_station_filter_reaches_both_scans(layers):
     text = physical(delays.daily_delay(*layers, "Berlin Alexanderplatz"))
     assert text.count("EqualTo(station,Berlin Alexanderplatz)") == 2
