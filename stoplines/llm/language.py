@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from stoplines.llm import hashing as H
 from stoplines.llm.common import arrow_map, string_buffer, text_key
-from stoplines.llm.lattice import LITERAL, SPACE, Lattice, Vocabulary
+from stoplines.llm.lattice import LITERAL, SPACE, Vocabulary, Ways
 from stoplines.storage import materialize
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -52,8 +52,8 @@ PER_BYTE = -float(np.log(256))
 MARK = chr(SPACE).encode()
 
 
-def _lattices(words: list[bytes], vocabulary: Vocabulary) -> Iterator[tuple[slice, Lattice]]:
-    """Lattices over the words, each with a space before, a bounded number of words and letters at a time."""
+def _ways(words: list[bytes], vocabulary: Vocabulary) -> Iterator[tuple[slice, Ways]]:
+    """The ways through the words, each with a space before, a bounded number of words and letters at a time."""
     ends = np.cumsum([len(word) for word in words])
     at = 0
     while at < len(words):
@@ -64,7 +64,7 @@ def _lattices(words: list[bytes], vocabulary: Vocabulary) -> Iterator[tuple[slic
         sizes = np.array([len(word.decode()) + 1 for word in some])
         points[points == SPACE] = LITERAL
         points[np.cumsum(sizes) - sizes] = SPACE
-        yield slice(at, stop), Lattice(vocabulary, points, sizes)
+        yield slice(at, stop), Ways(vocabulary, points, sizes)
         at = stop
 
 
@@ -290,11 +290,14 @@ def word_counts(docs: DataFrame, train: Column, kinds: Kinds) -> DataFrame:
     return rows.groupBy("word").agg(*[F.sum(name).alias(name) for name in names])
 
 
-def _expected(words: list[bytes], vocabulary: Vocabulary, weights: np.ndarray) -> np.ndarray:
-    uses = np.zeros(len(weights))
-    for _, lattice in _lattices(words, vocabulary):
-        uses += lattice.expected(lattice.weights(weights, PER_BYTE), np.ones(len(lattice.sizes)))
-    return uses
+def _expected(words: list[bytes], kind: np.ndarray, vocabulary: Vocabulary, weights: np.ndarray) -> np.ndarray:
+    """[kinds, pieces + 1]: expected uses in the words, each of which is of one kind."""
+    table = weights.ravel()
+    uses = np.zeros(table.size)
+    for part, ways in _ways(words, vocabulary):
+        number = kind[part][ways.text] * weights.shape[1] + ways.piece
+        uses += np.bincount(number, ways.expected(ways.weights(table, PER_BYTE, number)), minlength=table.size)
+    return uses.reshape(weights.shape)
 
 
 def fit(counts: DataFrame, vocabulary: Vocabulary, kinds: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -311,9 +314,10 @@ def fit(counts: DataFrame, vocabulary: Vocabulary, kinds: int, rounds: int = ROU
         def expected(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             uses = np.zeros(now.value.shape)
             for batch in batches:
-                for kind, own in enumerate(now.value):
-                    here = batch.column("word").filter(pc.greater(batch.column(f"n{kind}"), 0))
-                    uses[kind] += _expected(here.to_pylist(), shared.value, own)
+                # A word of several kinds comes once for each.
+                own = [batch.column("word").filter(pc.greater(batch.column(f"n{kind}"), 0)) for kind in range(len(uses))]
+                kind = np.repeat(np.arange(len(own)), [len(words) for words in own])
+                uses += _expected(pa.concat_arrays(own).to_pylist(), kind, shared.value, now.value)
             kind, piece = np.nonzero(uses)
             if len(kind):
                 yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(piece, pa.int32()), pa.array(uses[kind, piece])], names=["kind", "piece", "uses"])
@@ -336,7 +340,7 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
     `train` marks the documents to learn from. score is the model's log10 probability of the whole
     text, base_score that of a word unigram model smoothed by 0.1. Words are runs of anything but
     space and the controls 09-0D; the end is a token. Null and empty texts have the end only. k is a
-    hash of 128 bits of the text; null ids stay null; rows with one id and one text are scored alike.
+    hash of 128 bits of the text; null ids stay null; rows with one text are scored alike, up to the order of sums.
     """
     vocabulary = Vocabulary.load(path)
     sc = docs.sparkSession.sparkContext
@@ -368,10 +372,10 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
 
     def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = batch.column("word").to_pylist()
+        table = np.ascontiguousarray(fitted.value.T)
         p = np.empty((len(kinds.prior), len(words)))
-        for part, lattice in _lattices(words, shared.value):
-            for kind, weights in enumerate(fitted.value):
-                p[kind, part] = lattice.forward(lattice.weights(weights, PER_BYTE))[1]
+        for part, ways in _ways(words, shared.value):
+            p[:, part] = ways.forward(ways.weights(table, PER_BYTE))[1].T
 
         def whole(name: str, over: float) -> np.ndarray:
             return np.maximum(batch.column(name).to_numpy() - discount, 0) / over
@@ -386,11 +390,13 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         )
 
     p_names = [f"p{i}" for i in range_]
-    words = materialize(arrow_map(
-        counts.where(~is_end), scored, "word binary, n long, hash long, " + ", ".join(f"{name} double" for name in p_names), None
-    ), "scores")
-    # Fewer than FREQUENT words can have more than that part of all tokens.
-    top = words.where(F.col("n") > F.lit(total / FREQUENT)).select("hash", "n", *p_names).toArrow().sort_by("hash")
+
+    def scores(words: DataFrame) -> DataFrame:
+        return arrow_map(words, scored, "word binary, n long, hash long, " + ", ".join(f"{name} double" for name in p_names), None)
+
+    # Fewer than FREQUENT words can have more than that part of all tokens. The others are scored on their way to the join.
+    frequent = F.col("n") > F.lit(total / FREQUENT)
+    top = scores(counts.where(~is_end & frequent)).select("hash", "n", *p_names).toArrow().sort_by("hash")
     top = sc.broadcast([top.column(name).to_numpy() for name in ("hash", "n", *p_names)])
     norm = float(np.log10(total + SMOOTHING * (distinct + 1)))
 
@@ -412,41 +418,44 @@ def score(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int =
         first = np.flatnonzero(cut)
         times = np.diff(np.append(first, len(order)))
         some = order[first]
-        ids, keys = batch.column("id").to_numpy(), batch.column("k")
+        number = batch.column("number").to_numpy()
         # A space begins no word, so that these rows meet no other; each has a key of its own.
-        own = [b" %d %s" % pair for pair in zip(ids.tolist(), keys.to_pylist(), strict=True)]
-        word = pa.concat_arrays([pa.array(own, pa.binary()), _spelled(raw, starts[some], ends[some])])
-        tokens = np.bincount(doc, minlength=n) + 1
-        nothing = pa.nulls(len(some), pa.float64())
+        word = pa.concat_arrays([pa.array([b" %d" % i for i in number.tolist()], pa.binary()), _spelled(raw, starts[some], ends[some])])
+        k = np.ascontiguousarray(string_buffer(batch.column("k"))[0]).view(">i8").astype(np.int64).reshape(-1, 2)
+        own = pa.StructArray.from_arrays(
+            [
+                batch.column("id"), pa.array(k[:, 0]), pa.array(k[:, 1]), batch.column("train"),
+                pa.array(np.bincount(doc, minlength=n) + 1), pa.array(n_known), pa.array(base), *(pa.array(x) for x in model),
+            ],
+            names=own_names,
+        )
         return pa.RecordBatch.from_arrays(
             [
-                word, pa.array(np.concatenate((ids, ids[doc[some]]))), pa.concat_arrays([keys, keys.take(pa.array(doc[some]))]),
-                pa.concat_arrays([batch.column("train"), pa.nulls(len(some), pa.bool_())]),
-                pa.array(np.concatenate((tokens, times))),
-                pa.concat_arrays([pa.array(n_known.astype(float)), nothing]),
-                pa.concat_arrays([pa.array(base), nothing]), *(pa.concat_arrays([pa.array(x), nothing]) for x in model),
+                word, pa.array(np.concatenate((number, number[doc[some]]))),
+                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(times)]), pa.concat_arrays([own, pa.nulls(len(some), own.type)]),
             ],
-            names=["word", "id", "k", "train", "times", "known", "base", *m_names],
+            names=["word", "number", "times", "own"],
         )
 
     m_names = [f"m{i}" for i in range_]
-    schema = "word binary, id long, k binary, train boolean, times long, known double, base double, "
-    parts = arrow_map(rows, summed, schema + ", ".join(f"{name} double" for name in m_names))
+    own_names = ["id", "k1", "k2", "train", "tokens", "known", "base", *m_names]
+    types = ["long", "long", "long", "boolean", "long", "long", "double", *["double"] * len(m_names)]
+    schema = f"word binary, number long, times long, own struct<{', '.join(f'{n}: {t}' for n, t in zip(own_names, types, strict=True))}>"
+    # A row is known by its number in the scan from here on: half as long as its key, and far shorter when compressed.
+    parts = arrow_map(rows.withColumn("number", F.monotonically_increasing_id()), summed, schema)
+    others = scores(counts.where(~is_end & ~frequent)).select("word", "n", *p_names)
     counted = F.coalesce("n", F.lit(0))
-    joined = parts.join(words.select("word", "n", *p_names), "word", "left")
-    per_document = joined.groupBy("id", "k").agg(
-        F.count("base").alias("copies"), F.first("train", ignorenulls=True).alias("train"),
-        F.sum(F.when(F.col("base").isNotNull(), F.col("times"))).alias("n_tokens"),
-        F.sum(F.coalesce(F.col("known").cast("long"), F.when(counted > 0, F.col("times")).otherwise(0))).alias("n_known"),
-        F.sum(F.coalesce("base", F.col("times") * (F.log10(counted + SMOOTHING) - norm))).alias("base_score"),
-        *[F.sum(F.coalesce(m, F.col("times") * F.col(p))).alias(m) for m, p in zip(m_names, p_names, strict=True)],
+    # Scores take far more room than the table of counts that the planner knows, hence the hint.
+    per_document = parts.join(others.hint("merge"), "word", "left").groupBy("number").agg(
+        *[F.first(f"own.{name}", ignorenulls=True).alias(name) for name in own_names[:5]],
+        F.sum(F.coalesce("own.known", F.when(counted > 0, F.col("times")).otherwise(0))).alias("n_known"),
+        F.sum(F.coalesce("own.base", F.col("times") * (F.log10(counted + SMOOTHING) - norm))).alias("base_score"),
+        *[F.sum(F.coalesce(f"own.{m}", F.col("times") * F.col(p))).alias(m) for m, p in zip(m_names, p_names, strict=True)],
     )
-    copies = F.col("copies")
     most = F.greatest(*m_names) if len(m_names) > 1 else F.col("m0")
-    marginal = (most + F.lit(0.0)) / copies + F.log10(sum(F.pow(F.lit(10.0), (F.col(m) - most) / copies) for m in m_names))
+    marginal = most + F.log10(sum(F.pow(F.lit(10.0), F.col(m) - most) for m in m_names))
+    key = F.unhex(F.concat(*[F.lpad(F.hex(half), 16, "0") for half in ("k1", "k2")]))
     return per_document.select(
-        F.nullif("id", F.lit(LAST)).alias("doc_id"), "k", "train",
-        (F.col("n_tokens") / copies).cast("long").alias("n_tokens"), (F.col("n_known") / copies).cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") / copies).alias("base_score"),
-        marginal.alias("score"), F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
-    ).drop("copy")
+        F.nullif("id", F.lit(LAST)).alias("doc_id"), key.alias("k"), "train", F.col("tokens").alias("n_tokens"), "n_known",
+        F.lit(total).cast("long").alias("train_tokens"), "base_score", marginal.alias("score"),
+    )

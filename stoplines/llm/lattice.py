@@ -6,6 +6,7 @@ the piece that starts at every place; then all texts advance together, place by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -64,6 +65,39 @@ class Vocabulary:
         texts = [table.get(i, b"") for i in range(max(table) + 1)]
         return np.frombuffer(b"".join(texts), np.uint8), np.array([len(x) for x in texts])
 
+    @cached_property
+    def begun(self) -> np.ndarray:
+        """As `seen`, of the hashes of all that pieces begin with and go on after."""
+        points = np.array([ord(c) for piece in self.pieces for c in piece], np.uint64)
+        sizes = np.array([len(piece) for piece in self.pieces], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        out = np.zeros(FILTER, bool)
+        for length in range(1, self.longest):
+            some = starts[sizes > length]
+            out[H.stretch_hashes(points, some, some + length) & np.uint64(FILTER - 1)] = True
+        return out
+
+    def matches(self, points: np.ndarray, room: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Length, places and numbers of all pieces at all places; a place is left as soon as no piece begins like it."""
+        n = len(points)
+        if not len(self.hashes):
+            return
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((points.astype(np.uint64) + np.uint64(1)) * H.powers(H.BASE, n), out=sums[1:])
+        back = H.powers(pow(H.BASE, -1, 1 << 64), n + 1)
+        places = np.arange(n)
+        for length in range(1, self.longest + 1):
+            places = places[room[places] >= length]
+            if not len(places):
+                return
+            hashes = H.mix((sums[places + length] - sums[places]) * back[places] + np.uint64(length))
+            short = hashes & np.uint64(FILTER - 1)
+            maybe = np.flatnonzero(self.seen[short])
+            at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+            good = self.hashes[at] == hashes[maybe]
+            yield length, places[maybe[good]], self.order[at[good]]
+            places = places[self.begun[short]]
+
     def starting(self, points: np.ndarray, room: np.ndarray) -> np.ndarray:
         """[longest, n]: number of the piece of each length at each place, -1 for none; `room` is left up to the text's end."""
         n = len(points)
@@ -178,3 +212,80 @@ class Lattice:
                 score[at[better]] = value[better]
                 length[at[better]] = k + 1
         return score[self.begin + self.sizes + np.arange(len(self.sizes))], length
+
+
+class Ways:
+    """The pieces over many short texts as a list of ways from place to place, for sums over all segmentations.
+
+    A text has one place more than letters. Ways are in the order of the letter of their text that they begin at, then of
+    texts and lengths, so that a step takes all ways from one letter of all texts; no two of them lead to the same place.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, points: np.ndarray, sizes: np.ndarray):
+        n = len(points)
+        start = np.cumsum(sizes) - sizes
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        letter = np.arange(n) - start[text]
+        self.none = len(vocabulary.pieces)  # the fallback's number
+        single = np.full(n, self.none)
+        longer = []
+        for length, at, pieces in vocabulary.matches(points, sizes[text] - letter):
+            if length == 1:
+                single[at] = pieces
+            else:
+                longer.append((length, at, pieces))
+        number = np.ones(n, np.int64)
+        for _, at, _ in longer:
+            number[at] += 1
+        # Two bytes are sorted faster; a longer text is rare.
+        order = np.argsort(letter.astype(np.uint16) if sizes.max(initial=0) <= 1 << 16 else letter, kind="stable")
+        ends = np.cumsum(number[order])
+        total = int(ends[-1]) if n else 0
+        to = np.empty(n, np.int64)
+        to[order] = ends - number[order]
+        begin, length_of, self.piece = np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total, np.int64)
+        firsts = to[order]
+        for length, at, pieces in [(1, np.arange(n), single), *longer]:
+            way = to[at]
+            begin[way], length_of[way], self.piece[way] = at, length, pieces
+            to[at] += 1
+        self.text = text[begin]
+        self.lone = np.flatnonzero(self.piece == self.none)
+        bare = points[begin[self.lone]]
+        self.bytes = 1 + (bare >= 0x80).astype(np.int8) + (bare >= 0x800) + ((bare >= 0x10000) & (bare != LITERAL))
+        self.begin = begin + self.text
+        self.end = self.begin + length_of
+        self.first = start + np.arange(len(sizes))
+        self.last = self.first + sizes
+        places = np.concatenate(([0], np.cumsum(np.bincount(letter)))) if n else np.zeros(1, np.int64)
+        edges = np.append(firsts, total)[places].tolist()
+        # The ways of each step, and the first way of each place among them.
+        self.steps = [
+            (slice(a, b), firsts[p:q] - a)
+            for a, b, p, q in zip(edges[:-1], edges[1:], places[:-1].tolist(), places[1:].tolist(), strict=True)
+        ]
+
+    def weights(self, table: np.ndarray, per_byte: float, number: np.ndarray | None = None) -> np.ndarray:
+        """Weight of each way: the row of the table for its piece, or with that `number`; a fallback pays per byte."""
+        out = table[self.piece if number is None else number]
+        out[self.lone] += (per_byte * self.bytes).reshape(-1, *[1] * (out.ndim - 1))
+        return out
+
+    def forward(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log of the summed weights of all ways to reach each place, and of each text as a whole; for each column of weights."""
+        reach = np.full((int(self.last[-1]) + 1 if len(self.last) else 0, *weights.shape[1:]), -np.inf)
+        reach[self.first] = 0
+        for step, _ in self.steps:
+            end = self.end[step]
+            reach[end] = np.logaddexp(reach[end], reach[self.begin[step]] + weights[step])
+        return reach, reach[self.last]
+
+    def expected(self, weights: np.ndarray) -> np.ndarray:
+        """How often each way is expected to be taken."""
+        reach, total = self.forward(weights)
+        ahead = np.full(len(reach), -np.inf)
+        ahead[self.last] = 0
+        for step, firsts in reversed(self.steps):
+            value = weights[step] + ahead[self.end[step]]
+            ahead[self.begin[step][firsts]] = np.logaddexp.reduceat(value, firsts)
+        return np.exp(reach[self.begin] + weights + ahead[self.end] - total[self.text])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stoplines.llm import language, quality, toxicity
 from stoplines.llm import hashing as H
 from stoplines.llm.common import string_buffer
-from stoplines.llm.lattice import Lattice, Vocabulary
+from stoplines.llm.lattice import Lattice, Vocabulary, Ways
 from stoplines.llm.queries import QUERIES
 from tests.llm.cases import SCHEMA, documents, frame
 
@@ -132,6 +132,35 @@ def test_lattice_sums_all_segmentations():
     assert uses[:-1] == pytest.approx(expected)
 
 
+def test_ways_of_several_kinds_agree_with_the_lattice():
+    vocabulary = small_vocabulary()
+    rng = random.Random(3)
+    texts = ["▁" + "".join(rng.choice("abcé𐍈") for _ in range(rng.randint(0, 30))) for _ in range(200)] + ["", "▁" + "a" * 900]
+    points = np.array([ord(c) for c in "".join(texts)], np.uint32)
+    sizes = np.array([len(t) for t in texts])
+    tables = np.stack([np.append(vocabulary.scores, -9.0) * factor for factor in (1, 2, 5)])
+    kind = np.array([rng.randrange(3) for _ in texts])
+    lattice, ways = Lattice(vocabulary, points, sizes), Ways(vocabulary, points, sizes)
+    # All kinds at once, one step for each letter of the longest text.
+    assert len(ways.steps) == 901
+    total = ways.forward(ways.weights(np.ascontiguousarray(tables.T), -1.0))[1]
+    number = kind[ways.text] * tables.shape[1] + ways.piece
+    uses = np.bincount(number, ways.expected(ways.weights(tables.ravel(), -1.0, number)), minlength=tables.size).reshape(tables.shape)
+    for i, table in enumerate(tables):
+        weights = lattice.weights(table, -1.0)
+        assert (lattice.forward(weights)[1] == total[:, i]).all()
+        assert lattice.expected(weights, (kind == i).astype(float)) == pytest.approx(uses[i])
+
+
+def test_language_stores_no_scores_and_keeps_keys(spark):
+    got = language.score(frame(spark, documents(n=30)), F.lit(True), rounds=0, n_kinds=2)
+    # Words are scored on their way to the join, from the stored table of counts.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "hash#" not in plan[plan.index("Join LeftOuter"):].split("MapInArrow")[0]
+    keys = frame(spark, documents(n=30)).select("doc_id", language.text_key().alias("k"))
+    assert sorted(map(str, got.select("doc_id", "k").collect())) == sorted(map(str, keys.collect()))
+
+
 def test_language_scores(spark):
     rows = documents(n=60)
     train = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(4)) != 0
