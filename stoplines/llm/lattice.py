@@ -65,6 +65,14 @@ class Vocabulary:
         texts = [table.get(i, b"") for i in range(max(table) + 1)]
         return np.frombuffer(b"".join(texts), np.uint8), np.array([len(x) for x in texts])
 
+    @cached_property
+    def slots(self) -> np.ndarray:
+        """Where among `hashes` the one with these last bits is: -1 for none, -2 for several, which are then searched."""
+        short, first, n = np.unique(self.hashes & np.uint64(FILTER - 1), return_index=True, return_counts=True)
+        out = np.full(FILTER, -1, np.int32)
+        out[short] = np.where(n == 1, first, -2)
+        return out
+
     @cached_property
     def begun(self) -> np.ndarray:
         """As `seen`, of the hashes of all that pieces begin with and go on after."""
@@ -92,8 +100,11 @@ class Vocabulary:
                 return
             hashes = H.mix((sums[places + length] - sums[places]) * back[places] + np.uint64(length))
             short = hashes & np.uint64(FILTER - 1)
-            maybe = np.flatnonzero(self.seen[short])
-            at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+            at = self.slots[short]
+            maybe = np.flatnonzero(at != -1)
+            at = at[maybe]
+            several = np.flatnonzero(at == -2)
+            at[several] = np.minimum(np.searchsorted(self.hashes, hashes[maybe[several]]), len(self.hashes) - 1)
             good = self.hashes[at] == hashes[maybe]
             yield length, places[maybe[good]], self.order[at[good]]
             places = places[self.begun[short]]
