@@ -7,13 +7,17 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from stoplines.operators.dims import dense_number, profile_dim
 from stoplines.operators.merge import (
     apply_changes,
     fold_changes,
+    fold_with_positions,
     insert_absent,
     keep_first,
     keep_last,
+    merge_facts,
     orphans,
     upsert,
 )
@@ -119,3 +123,40 @@ def test_profiles_keep_their_ids(spark):
     assert rows(profile_dim(stops, existing)) == sorted(
         [(3, None, "X"), (7, "2", "S"), (8, None, None), (9, "1", None)], key=repr
     )
+
+
+def stop_changes(spark, n=3000):
+    """Changes of some stops, one of them with a third of all, and times that are not known."""
+    time = F.when(F.col("id") % 3 != 1, F.lit(BASE).cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") * 37 % 500).cast("int")))
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("string").alias("stop_id"), time.alias("new_arrival"),
+        F.when(F.col("id") % 7 == 0, time).alias("new_departure"), (F.col("id") % 11 == 0).alias("cancelled"),
+        (F.col("id") * 7919 % n).cast("decimal(38,0)").alias("position"),
+    )
+
+
+def test_folding_is_dealt_to_its_end(spark):
+    changes = stop_changes(spark)
+    folded = fold_with_positions(changes, tasks=9)
+    assert rows(folded) == rows(fold_with_positions(changes))
+    # Adaptive execution, which goes by bytes, doesn't put the tasks together again.
+    assert folded.rdd.getNumPartitions() == 9
+
+
+def test_facts_are_merged_in_as_many_tasks_as_told(spark):
+    plan = (
+        "stop_id string, station_eva long, profile_id int, date_id date, train_line string, planned_arrival timestamp_ntz, "
+        "planned_departure timestamp_ntz, planned_from struct<archive:string,seq:bigint,pos:int>"
+    )
+    time = "struct<archive:string,seq:bigint,pos:int,time:timestamp_ntz>"
+    def plans(archive, keys):
+        return spark.createDataFrame([(str(k), k, 1, None, "1", BASE, BASE, (archive, k, 0)) for k in keys], plan)
+    def changes(archive, keys):
+        late = BASE + timedelta(minutes=len(archive))
+        return spark.createDataFrame(
+            [(str(k), (archive, k, 0, late), None, k % 3 == 0) for k in keys], f"stop_id string, arrival {time}, departure {time}, cancelled boolean"
+        )
+    first = merge_facts(None, plans("a", range(40)), changes("b", range(0, 60, 2)))
+    second = plans("c", range(20, 80)), changes("aa", range(0, 90, 3))
+    merged = merge_facts(first, *second, tasks=9)
+    assert rows(merged) == rows(merge_facts(first, *second)) and merged.rdd.getNumPartitions() == 9
