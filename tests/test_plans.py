@@ -1,8 +1,10 @@
 """What the planner makes of the operators."""
 
+import itertools
 import re
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -10,13 +12,15 @@ from pyspark.sql import functions as F
 import __spark_entry__ as app
 from stoplines.operators import delays, graph, merge, stations
 from stoplines.plans import table_feed
-from stoplines.plans.ingest import FACT_SCHEMA, archive_names, change_state, with_position
+from stoplines.plans.ingest import FACT_SCHEMA, Rooms, archive_names, change_state, rooms_for, with_position
 from stoplines.sources.archives import read_archives
 from stoplines.sources.feed import one_per_document, parse_documents, planned_stops, stop_by_stop, stop_changes
 from stoplines.sources import tables
 from stoplines.sources.tables import read_table, write_by_day
+from stoplines.storage import materialize
 
 FOLDER = app.SMOKE_DIR
+STOPS = pa.schema({**dict.fromkeys(table_feed.DOCUMENT[:-1], pa.string()), "cut": pa.bool_(), "xml": pa.string()})
 
 
 def physical(df):
@@ -89,6 +93,34 @@ def test_only_the_parts_of_the_feed_that_are_read_are_written(spark, monkeypatch
     assert sorted(path.name for path in folder.iterdir()) == sorted(table_feed.PARTS)
 
 
+def test_archives_are_counted_once_for_both_parts_of_the_feed(spark, monkeypatch):
+    monkeypatch.setattr(table_feed, "_FEEDS", {})
+    stored = []
+    monkeypatch.setattr(table_feed, "materialize", lambda df, label: stored.append(label) or materialize(df, label))
+    table_feed.table_feed(spark, FOLDER)
+    assert stored == ["archives"]
+
+
+def test_documents_are_put_together_by_runs(monkeypatch):
+    """As row by row, wherever a batch ends; the texts of a run are taken as one piece."""
+    monkeypatch.setattr(table_feed, "STOPS_PER_DOCUMENT", 3)
+    names = [("a", "s", "f", "t", False)] * 5 + [("a", "s", "f", "t", True)] + [("a", "ü", "f", "", False)] * 3 + [("b", "ü", "f", "", False)]
+    stops = [(*name, text) for name, text in zip(names, ["x", "", "ß", None, "yy", "z", "1", "22", "3", "é"], strict=True)]
+    expected = []
+    for (archive, station, folder, title, cut), own in itertools.groupby(stops, key=lambda stop: stop[:5]):
+        own = list(own)
+        for part in range(-(-len(own) // 3)):
+            texts = "".join(stop[5] or "" for stop in own[3 * part : 3 * part + 3])
+            text = f'<timetable station="{title}">{texts}{"" if cut else "</timetable>"}'
+            expected.append((archive, station, part, f"{folder}_{part:04d}/{station}_timetable.xml", text.encode()))
+    columns = [*table_feed.DOCUMENT, "xml"]
+    for size in (1, 2, 4, 10):
+        batches = [
+            pa.RecordBatch.from_pylist([dict(zip(columns, stop, strict=True)) for stop in stops[i : i + size]], STOPS) for i in range(0, 10, size)
+        ]
+        assert list(table_feed._put_together(iter(batches))) == expected
+
+
 def test_first_row_is_taken_before_the_shuffle(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     text = physical(merge.keep_first(lines, ["l_orderkey"], ["l_shipdate"]))
@@ -198,6 +230,24 @@ def test_positions_keep_the_order(spark):
     assert [tuple(r.was) for r in found] == sorted(rows)
 
 
+def test_positions_are_long_numbers_if_they_can(spark):
+    """Decimal numbers of 38 digits take several times as long to fold."""
+    rows = [(a, s, p) for a in ("b_1", "a_2", "a_1") for s in (0, 7) for p in (3, 11)]
+    df = spark.createDataFrame(rows, "archive string, seq long, pos int").withColumn("was", F.struct("archive", "seq", "pos"))
+    rooms = rooms_for(3, 7, 11)
+    found = with_position(df, df, rooms).orderBy("position")
+    assert found.schema["position"].dataType.simpleString() == "bigint"
+    assert [tuple(r.was) for r in found.collect()] == sorted(rows)
+    assert rooms_for(1 << 20, 1 << 30, 1 << 20) == Rooms() and rooms_for(1, None, None).type == "bigint"
+    changes = df.select(
+        F.col("pos").cast("string").alias("stop_id"), F.lit("2025-09-02 00:00:00").cast("timestamp_ntz").alias("new_arrival"),
+        F.lit(None).cast("timestamp_ntz").alias("new_departure"), F.lit(False).alias("cancelled"), "archive", "seq", "pos",
+    )
+    long = change_state(changes, archive_names(changes), 5, rooms)
+    assert "decimal(38" not in physical(long)
+    assert sorted(long.collect(), key=repr) == sorted(change_state(changes, archive_names(changes)).collect(), key=repr)
+
+
 def test_facts_of_a_day_are_pruned(small):
     counted = delays.count_cancelled(small.fact_train_stops, "2025-09-02", 15)
     assert counted.first()[0] == 1
