@@ -121,6 +121,18 @@ def test_documents_are_put_together_by_runs(monkeypatch):
         assert list(table_feed._put_together(iter(batches))) == expected
 
 
+def test_a_stored_table_is_not_stored_again_by_days(spark, tmp_path, monkeypatch):
+    """As when a delivery is merged into stored facts; a day of several files keeps all rows, each in one file."""
+    day = F.date_add(F.lit("2025-09-01").cast("date"), (F.col("id") % 3).cast("int"))
+    df = materialize(spark.range(3_000).withColumn("day", day), "rows")
+    stored = []
+    monkeypatch.setattr(tables, "materialize", lambda df, label: stored.append(label) or materialize(df, label))
+    write_by_day(df, "day", str(tmp_path / "t"), rows_per_file=400, staged=True)
+    assert stored == ["days"]
+    assert sorted(read_table(spark, str(tmp_path / "t"), df.schema).collect()) == sorted(df.collect())
+    assert {len(list(folder.glob("*.parquet"))) for folder in (tmp_path / "t").glob("day=*")} == {3}
+
+
 def test_first_row_is_taken_before_the_shuffle(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     text = physical(merge.keep_first(lines, ["l_orderkey"], ["l_shipdate"]))
@@ -243,7 +255,7 @@ def test_positions_are_long_numbers_if_they_can(spark):
         F.col("pos").cast("string").alias("stop_id"), F.lit("2025-09-02 00:00:00").cast("timestamp_ntz").alias("new_arrival"),
         F.lit(None).cast("timestamp_ntz").alias("new_departure"), F.lit(False).alias("cancelled"), "archive", "seq", "pos",
     )
-    long = change_state(changes, archive_names(changes), 5, rooms)
+    long = change_state(changes, (archive_names(changes), rooms), 5)
     assert "decimal(38" not in physical(long)
     assert sorted(long.collect(), key=repr) == sorted(change_state(changes, archive_names(changes)).collect(), key=repr)
 
